@@ -43,6 +43,8 @@ def normalized(name: Column) -> Column:
     # dotted capitals are one word, elided articles and a leading 'M.' are none
     t = F.regexp_replace(t, r"(?<=\b\p{Lu})\.(?=\p{Lu}(\.|\b))", "")
     t = F.regexp_replace(t, r"\b[LD]['’]|^\s*M[. ]", " ")
+    # a legal form that names a trade
+    t = F.regexp_replace(t, r"\b(STE|SOC|SOCIETE)\s+(DE?\s+)?AVOCATS?\b", " ")
     return F.trim(F.regexp_replace(t, r"[^\p{Lu}\p{Lo}\p{N}]+", " "))
 
 
@@ -77,7 +79,15 @@ def deletes(word: Column) -> Column:
     return F.when((n < 4) | (n > LONGEST) | word.rlike("[0-9]"), F.array(word)).when(n < 7, F.array_distinct(F.concat(F.array(word), one))).otherwise(F.array_distinct(F.concat(F.array(word), one, F.flatten(F.transform(one, cut)))))
 
 
-def word_index(words: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def _slips(a: Column, b: Column) -> Column:
+    """Levenshtein's distance, a swap of two letters as one; 9 if over what the length allows."""
+    swap = (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    d = F.levenshtein(a, b)
+    d = F.when(swap & (d == 2), 1).otherwise(d)
+    return F.when(d <= F.when(F.least(F.length(a), F.length(b)) < 7, 1).otherwise(2), d).otherwise(9)
+
+
+def word_index(words: DataFrame) -> DataFrame:
     """(word, keys): under which words a word is looked up. words: (word, df, trusted), one row a word.
 
     A trusted word (of an official spelling) stands for itself. Any other also stands for the trusted words at the
@@ -85,15 +95,13 @@ def word_index(words: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     are near if deleting a letter or two from each can give the same; such pairs meet by an equi-join on what is
     left, then Levenshtein's distance decides. A delete joins few words, so no group of it grows with the data."""
     long = words.where(F.length("word") >= 4)
-    near = long.select("word", "df", "trusted", sound(F.col("word")).alias("heard")).select("*", F.explode(deletes(F.col("heard"))).alias("rest"))
+    near = long.select("word", "df", "trusted", sound(F.col("word")).alias("heard")).select("*", F.explode(F.array_distinct(F.concat(deletes(F.col("word")), deletes(F.col("heard"))))).alias("rest"))
     typed = near.where(~F.col("trusted")).select(F.col("word").alias("a"), F.col("df").alias("df_a"), F.col("heard").alias("ha"), "rest")
     other = near.select(F.col("word").alias("b"), F.col("df").alias("df_b"), F.col("trusted").alias("t_b"), F.col("heard").alias("hb"), "rest")
     pairs = typed.join(other, "rest").where((F.col("a") != F.col("b")) & (F.col("t_b") | (F.col("df_b") > F.col("df_a")) | ((F.col("df_b") == F.col("df_a")) & (F.col("b") > F.col("a"))))).select("a", "b", "t_b", "ha", "hb").distinct()
-    limit = F.when(F.least(F.length("ha"), F.length("hb")) < 7, 1).otherwise(2)
-    # a swap of neighbours counts two for Levenshtein and is one slip of the hand
-    swap = (F.length("ha") == F.length("hb")) & (F.array_sort(F.split("ha", "")) == F.array_sort(F.split("hb", "")))
-    d = F.levenshtein("ha", "hb")
-    pairs = pairs.select("a", "b", "t_b", F.when(swap & (d == 2), 1).otherwise(d).alias("d")).where(F.col("d") <= limit)
+    # as written or as heard, whichever is nearer
+    near = F.least(_slips(F.col("a"), F.col("b")), _slips(F.col("ha"), F.col("hb")))
+    pairs = pairs.select("a", "b", "t_b", near.alias("d")).where(F.col("d") < 9)
     best = pairs.groupBy("a").agg(F.min(F.when(F.col("t_b"), F.col("d"))).alias("dt"), F.collect_list(F.struct("d", "t_b", "b")).alias("c"))
     chosen = best.select(F.col("a").alias("word"), F.expr("transform(filter(c, x -> if(dt is null, true, x.t_b and x.d = dt)), x -> x.b)").alias("more"))
     return words.join(chosen, "word", "left").select("word", "df", "trusted", F.concat(F.array("word"), F.coalesce("more", F.array().cast("array<string>"))).alias("keys"))
@@ -127,11 +135,14 @@ def likeness(a: str, b: str, both_trusted: bool = False) -> float:
     heard = sounded(s), sounded(t)
     if heard[0] == heard[1]:
         return 0.97
-    least = min(map(len, heard))
-    most = 0 if least < 4 else 1 if least < 7 else 2
-    d = edit(*heard, most) if most and len(t) <= LONGEST else most + 1
-    if d <= most:
-        return 1 - 0.5 * d / len(t) * 1.6
+    share = 0.0
+    for x, y in ((s, t), heard):
+        n = min(len(x), len(y))
+        most = 0 if n < 4 or max(len(x), len(y)) > LONGEST else 1 if n < 7 else 2
+        if most and (d := edit(x, y, most)) <= most:
+            share = max(share, 1 - 0.8 * d / max(len(x), len(y)))
+    if share:
+        return share
     if len(s) >= 3 and t.startswith(s):
         return 0.8
     return 0.0
@@ -179,20 +190,21 @@ def assign(like: list[list[float]], gain: list[list[float]]) -> tuple[float, lis
 
 
 #: A name for alignment: its core words, their weights (rarity) and whether each is of an official spelling; its kinds of activity.
-def align(a: tuple[list[str], list[float], list[bool]], b: tuple[list[str], list[float], list[bool]]) -> tuple[float, bool]:
-    """(share of the lighter name's weight that finds a counterpart in the other, whether the order is kept). At least
-    two words, or all of a name, must be matched."""
+def align(a: tuple[list[str], list[float], list[bool]], b: tuple[list[str], list[float], list[bool]]) -> tuple[float, bool, bool]:
+    """(share of the lighter name's weight that finds a counterpart in the other, whether the order is kept, whether
+    an initial stands for a word). At least two words, or all of a name, must be matched."""
     (x, wx, tx), (y, wy, ty) = a, b
     like = [[likeness(p, q, tx[i] and ty[j]) for j, q in enumerate(y)] for i, p in enumerate(x)]
     gain = [[v * (max(wx[i], wy[j]) if min(len(x[i]), len(y[j])) == 1 else (wx[i] + wy[j]) / 2) for j, v in enumerate(r)] for i, r in enumerate(like)]
     total, pairs = assign(like, gain)
     if not pairs or (len(pairs) < 2 and min(len(x), len(y)) > 1):
-        return 0.0, True
+        return 0.0, True, False
     # initials weigh what their counterparts do
     whole = lambda words, w, side: sum(max(w[k], next((wy[j] if side == 0 else wx[i] for i, j in pairs if (i, j)[side] == k), 0.0)) if len(words[k]) == 1 else w[k] for k in range(len(words)))
     share = total / max(min(whole(x, wx, 0), whole(y, wy, 1)), 1e-9)
     kept = all((p[0] < q[0]) == (p[1] < q[1]) for p, q in combinations(sorted(pairs), 2))
-    return min(share, 1.0), kept
+    thin = any(len(x[i]) != len(y[j]) and min(len(x[i]), len(y[j])) == 1 for i, j in pairs)
+    return min(share, 1.0), kept, thin
 
 
 def activities(words: list[str]) -> set[str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galena.llm import digests, packing, spelling, tokens
+from galena.llm import digests, entities, packing, spelling, tokens
 from galena.sources.tables import table
 
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -30,6 +30,15 @@ def p4_combined(spark: SparkSession, d: str) -> DataFrame:
     return digests.estimates(digests.merge_digests(days, ["segment"]), ["segment"], PERCENTILES)
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_matches(spark, d).select("offre_id", "siren")
+
+
+def p5_matches(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the calibrated probability of each match."""
+    return entities.match_entities(table(spark, d, "offre_emploi"), table(spark, d, "cabinet"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return spelling.variant_pairs(table(spark, d, "nom_saisi"), "nom_id", "nom", "code_commune", F.col("champ").isin("raison_sociale", "enseigne"))
 
@@ -42,7 +51,7 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_containers(tokens.token_counts(table(spark, d, "documents")), "doc_id", "n_tokens", CONTAINER)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_percentiles, p4_bounds, p4_combined, p6_found, p8_ids, p9_containers)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_percentiles, p4_bounds, p4_combined, p5_found, p5_matches, p6_found, p8_ids, p9_containers)}
 
 SQL: dict[str, str] = {
     "p4_bounds": f"select segment, n, p, true as within from (select segment, count(ca) as n from leads_scored group by segment having count(ca) > 0), (select unnest({PERCENTILES}::double[]) as p)",
