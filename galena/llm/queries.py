@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galena.llm import digests, entities, packing, spelling, tokens
+from galena.llm import digests, entities, packing, residue, spelling, tokens
 from galena.sources.tables import table
 
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -51,7 +51,16 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_containers(tokens.token_counts(table(spark, d, "documents")), "doc_id", "n_tokens", CONTAINER)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_percentiles, p4_bounds, p4_combined, p5_found, p5_matches, p6_found, p8_ids, p9_containers)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue(table(spark, d, "documents")).select("doc_id")
+
+
+def p10_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The best window of each document with residue and the share of the text that is residue."""
+    return residue.residue(table(spark, d, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_percentiles, p4_bounds, p4_combined, p5_found, p5_matches, p6_found, p8_ids, p9_containers, p10_found, p10_windows)}
 
 SQL: dict[str, str] = {
     "p4_bounds": f"select segment, n, p, true as within from (select segment, count(ca) as n from leads_scored group by segment having count(ca) > 0), (select unnest({PERCENTILES}::double[]) as p)",
