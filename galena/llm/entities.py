@@ -26,17 +26,19 @@ FEATURES = ["alike", "kept", "clash", "thin", "rivals", "same_commune", "other_c
 WITHHELD = ("XXX", "XXXX", "ANONYME", "CONFIDENTIEL", "CONFIDENTIELLE", "NC", "N C", "ENTREPRISE", "EMPLOYEUR NON COMMUNIQUE", "NON COMMUNIQUE", "NON RENSEIGNE", "NOTRE CLIENT")
 
 
-def _sketched(records: DataFrame, index: DataFrame) -> DataFrame:
+def _sketched(records: DataFrame, index: DataFrame, side: str) -> DataFrame:
     """(block, form) of records (form, place): the MinHash sketch of each record's elements across its attributes:
-    pairs of words, a word with another's initial, a word with the place. Words count by their lookup words."""
+    pairs of words, a word with another's initial, a word with the place. Words count by their lookup words. An
+    initial of side a meets only words of side b that are spelled out, and the reverse."""
+    own, other = ("a", "b") if side == "a" else ("b", "a")
     split = records.select("form", "place", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
     words = split.select("form", "word").distinct().join(index.select("word", "keys"), "word")
     per = words.groupBy("form").agg(F.collect_list(F.struct("word", "keys")).alias("w"))
     r = records.select("form", "place").distinct().join(per, "form").select("form", "place", "w", F.expr("filter(w, x -> length(x.word) > 1)").alias("f"), F.expr("filter(w, x -> length(x.word) = 1)").alias("i"))
     # in a very long name each word is paired with the three after it
     pair = F.expr("flatten(flatten(transform(f, (x, n) -> transform(filter(f, (y, m) -> m > n and (size(f) <= 8 or m <= n + 3)), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('pair', least(a, b), greatest(a, b)))))))))")
-    initial = F.expr("flatten(flatten(transform(i, y -> transform(f, x -> transform(x.keys, a -> xxhash64('initial', a, y.word))))))")
-    spelled = F.expr("flatten(flatten(transform(f, x -> transform(filter(f, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('initial', a, left(b, 1)))))))))")
+    initial = F.expr("flatten(flatten(transform(i, y -> transform(f, x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % own)
+    spelled = F.expr("flatten(flatten(transform(f, x -> transform(filter(f, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % other)
     placed = F.when(F.col("place").isNotNull(), F.expr("flatten(transform(f, x -> transform(x.keys, a -> xxhash64('place', a, place))))")).otherwise(F.array().cast("array<bigint>"))
     alone = F.when(F.size("f") == 1, F.expr("transform(f, x -> xxhash64('alone', x.word))")).otherwise(F.array().cast("array<bigint>"))
     sketch = F.slice(F.array_sort(F.array_distinct(F.concat(pair, initial, spelled, placed, alone))), 1, SKETCH)
@@ -143,10 +145,10 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     split = forms.select("form", "t", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
     df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("t").alias("trusted"))
     total = forms.count()
-    index = materialize(word_index(df).withColumn("weight", F.log(F.lit(float(total + 1)) / F.col("df"))), "words")
+    index = materialize(word_index(df, trusted_only=True).withColumn("weight", F.log(F.lit(float(total + 1)) / F.col("df"))), "words")
     words = materialize(split.join(index, "word").groupBy("form").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w")), "forms")
-    a = _sketched(said.select("form", F.col("commune").alias("place")).distinct(), index)
-    b = _sketched(named.select("form", F.col("commune").alias("place")).distinct(), index)
+    a = _sketched(said.select("form", F.col("commune").alias("place")).distinct(), index, "a")
+    b = _sketched(named.select("form", F.col("commune").alias("place")).distinct(), index, "b")
     alike = materialize(_scored(_candidates(a, b), words), "alike")
 
     # offers with the same employer, place and activity are one mention

@@ -71,12 +71,16 @@ def sounded(word: str) -> str:
     return "".join(c for i, c in enumerate(word) if not i or c != word[i - 1] or not c.isalpha())
 
 
+def _cut(word: Column) -> Column:
+    """The word less each of its letters."""
+    return F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
+
+
 def deletes(word: Column) -> Column:
     """The word and what is left of it after deleting up to one letter (4 to 6 letters) or two (7 and more)."""
-    cut = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
-    one = cut(word)
+    one = _cut(word)
     n = F.length(word)
-    return F.when((n < 4) | (n > LONGEST) | word.rlike("[0-9]"), F.array(word)).when(n < 7, F.array_distinct(F.concat(F.array(word), one))).otherwise(F.array_distinct(F.concat(F.array(word), one, F.flatten(F.transform(one, cut)))))
+    return F.when((n < 4) | (n > LONGEST) | word.rlike("[0-9]"), F.array(word)).when(n < 7, F.array_distinct(F.concat(F.array(word), one))).otherwise(F.array_distinct(F.concat(F.array(word), one, F.flatten(F.transform(one, _cut)))))
 
 
 def _slips(a: Column, b: Column) -> Column:
@@ -87,21 +91,34 @@ def _slips(a: Column, b: Column) -> Column:
     return F.when(d <= F.when(F.least(F.length(a), F.length(b)) < 7, 1).otherwise(2), d).otherwise(9)
 
 
-def word_index(words: DataFrame) -> DataFrame:
+def _near_keys(word: Column) -> Column:
+    """Hashes under which a word meets its neighbours: itself as heard less up to two letters, and as written less one
+    (which finds a slip that changes how it is heard)."""
+    n = F.length(word)
+    one = F.when((n < 4) | (n > LONGEST) | word.rlike("[0-9]"), F.array(word)).otherwise(F.concat(F.array(word), _cut(word)))
+    return F.array_distinct(F.transform(F.concat(deletes(sound(word)), one), lambda x: F.xxhash64(x)))
+
+
+def word_index(words: DataFrame, trusted_only: bool = False) -> DataFrame:
     """(word, keys): under which words a word is looked up. words: (word, df, trusted), one row a word.
 
     A trusted word (of an official spelling) stands for itself. Any other also stands for the trusted words at the
-    smallest edit distance, or, where there is none, for the more frequent words near it. Symmetric delete: two words
-    are near if deleting a letter or two from each can give the same; such pairs meet by an equi-join on what is
-    left, then Levenshtein's distance decides. A delete joins few words, so no group of it grows with the data."""
+    smallest edit distance, or, where there is none, for the more frequent words near it (unless trusted_only).
+    Symmetric delete: two words are near if deleting a letter or two from each can give the same; such pairs meet by
+    an equi-join on what is left, and Levenshtein's distance decides at once, before anything is shuffled again. A
+    delete joins few words, so no group of it grows with the data."""
     long = words.where(F.length("word") >= 4)
-    near = long.select("word", "df", "trusted", sound(F.col("word")).alias("heard")).select("*", F.explode(F.array_distinct(F.concat(deletes(F.col("word")), deletes(F.col("heard"))))).alias("rest"))
-    typed = near.where(~F.col("trusted")).select(F.col("word").alias("a"), F.col("df").alias("df_a"), F.col("heard").alias("ha"), "rest")
-    other = near.select(F.col("word").alias("b"), F.col("df").alias("df_b"), F.col("trusted").alias("t_b"), F.col("heard").alias("hb"), "rest")
-    pairs = typed.join(other, "rest").where((F.col("a") != F.col("b")) & (F.col("t_b") | (F.col("df_b") > F.col("df_a")) | ((F.col("df_b") == F.col("df_a")) & (F.col("b") > F.col("a"))))).select("a", "b", "t_b", "ha", "hb").distinct()
+    keys = F.explode(_near_keys(F.col("word"))).alias("rest")
+    typed = long.where(~F.col("trusted")).select(F.col("word").alias("a"), *([] if trusted_only else [F.col("df").alias("df_a")]), keys)
+    other = (long.where("trusted") if trusted_only else long).select(F.col("word").alias("b"), *([] if trusted_only else [F.col("df").alias("df_b"), F.col("trusted").alias("t_b")]), keys)
+    pairs = typed.join(other, "rest")
+    if trusted_only:
+        pairs = pairs.withColumn("t_b", F.lit(True))
+    else:
+        pairs = pairs.where((F.col("a") != F.col("b")) & (F.col("t_b") | (F.col("df_b") > F.col("df_a")) | ((F.col("df_b") == F.col("df_a")) & (F.col("b") > F.col("a")))))
     # as written or as heard, whichever is nearer
-    near = F.least(_slips(F.col("a"), F.col("b")), _slips(F.col("ha"), F.col("hb")))
-    pairs = pairs.select("a", "b", "t_b", near.alias("d")).where(F.col("d") < 9)
+    near = F.least(_slips(F.col("a"), F.col("b")), _slips(sound(F.col("a")), sound(F.col("b"))))
+    pairs = pairs.where(F.abs(F.length("a") - F.length("b")) <= 4).select("a", "b", "t_b", near.alias("d")).where(F.col("d") < 9).distinct()
     best = pairs.groupBy("a").agg(F.min(F.when(F.col("t_b"), F.col("d"))).alias("dt"), F.collect_list(F.struct("d", "t_b", "b")).alias("c"))
     chosen = best.select(F.col("a").alias("word"), F.expr("transform(filter(c, x -> if(dt is null, true, x.t_b and x.d = dt)), x -> x.b)").alias("more"))
     return words.join(chosen, "word", "left").select("word", "df", "trusted", F.concat(F.array("word"), F.coalesce("more", F.array().cast("array<string>"))).alias("keys"))
