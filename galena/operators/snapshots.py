@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PRESENCE = "\u0001presence"
+def _col(name: str) -> Column:
+    """A column by its name, whatever signs the name has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def _text(df: DataFrame, c: str) -> Column:
     """A column's value as text, in which different values are different texts."""
     kind = df.schema[c].dataType.typeName()
-    return F.to_json(F.struct(F.col(c).alias("v"))) if kind in ("array", "map", "struct", "variant") else F.col(c).cast("string")
+    return F.to_json(F.struct(_col(c).alias("v"))) if kind in ("array", "map", "struct", "variant") else _col(c).cast("string")
 
 
 def following_versions(df: DataFrame, version: str) -> DataFrame:
     """(version, next version) of the distinct non-null versions: one small row per snapshot."""
-    v = df.where(F.col(version).isNotNull()).select(F.col(version).alias("_v")).distinct()
+    v = df.where(_col(version).isNotNull()).select(_col(version).alias("_v")).distinct()
     return v.select("_v", F.lead("_v").over(Window.orderBy("_v")).alias("_next"), F.lag("_v").over(Window.orderBy("_v")).alias("_before"))
 
 
@@ -43,7 +45,7 @@ def snapshot_changes(df: DataFrame, key: str, version: str, tolerance: dict[str,
     are compared (the least and greatest numbers for tolerance columns). Rows with null key or version are ignored.
     An empty table or a single version yields nothing. Extra columns take part like any other."""
     tolerance = tolerance or {}
-    src = df.where(F.col(key).isNotNull() & F.col(version).isNotNull())
+    src = df.where(_col(key).isNotNull() & _col(version).isNotNull())
     fields = [c for c in df.columns if c not in (key, version)]
     plain = [c for c in fields if c not in tolerance]
     near = [c for c in fields if c in tolerance]
@@ -53,7 +55,7 @@ def snapshot_changes(df: DataFrame, key: str, version: str, tolerance: dict[str,
     # hash functions skip nulls: a flag beside each value keeps (null, 'a') and ('a', null) apart
     parts = [x for t in texts for x in (t, t.isNull())] or [F.lit(0)]
     rows = src.groupBy(
-        F.col(version).alias("_v"), F.col(key).alias("_k"), F.xxhash64(*parts).alias("_f1"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("_f2"), *[F.col(c).cast("double").alias(f"_n{i}") for i, c in enumerate(near)]
+        _col(version).alias("_v"), _col(key).alias("_k"), F.xxhash64(*parts).alias("_f1"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("_f2"), *[_col(c).cast("double").alias(f"_n{i}") for i, c in enumerate(near)]
     ).agg(F.lit(1).alias("_one"))
     signed = _signed(rows, versions)
     print_sum = [F.sum(F.col("_sign").cast("decimal(38,0)") * F.col(f)).alias(f"_d{f}") for f in ("_f1", "_f2")]
@@ -69,10 +71,9 @@ def snapshot_changes(df: DataFrame, key: str, version: str, tolerance: dict[str,
     both = keys.where(F.col("_after") & F.col("_was"))
     sides = both.join(F.broadcast(versions.select(F.col("_v").alias("_at"), F.col("_before"))), "_at")
     wanted = sides.select("_at", "_k", F.explode(F.array(F.struct(F.col("_at").alias("v"), F.lit(1).alias("s")), F.struct(F.col("_before").alias("v"), F.lit(-1).alias("s")))).alias("_w")).select("_at", F.col("_k"), F.col("_w.v").alias("_v"), F.col("_w.s").alias("_sign"))
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), t.alias("value")) for c, t in zip(plain, texts)])) if plain else None
     parts = []
     if plain:
-        unpivoted = src.select(F.col(version).alias("_v"), F.col(key).alias("_k"), F.struct(*[t.alias(f"c{i}") for i, t in enumerate(texts)]).alias("_r"))
+        unpivoted = src.select(_col(version).alias("_v"), _col(key).alias("_k"), F.struct(*[t.alias(f"c{i}") for i, t in enumerate(texts)]).alias("_r"))
         cells = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"_r.c{i}").alias("value")) for i, c in enumerate(plain)])).alias("_c")
         one = unpivoted.join(wanted, ["_v", "_k"]).select("_at", "_k", "_sign", cells).select("_at", "_k", F.col("_c.field").alias("_field"), F.col("_c.value").alias("_value"), "_sign")
         net = one.groupBy("_at", "_k", "_field", "_value").agg((F.max(F.when(F.col("_sign") > 0, 1).otherwise(0)) - F.max(F.when(F.col("_sign") < 0, 1).otherwise(0))).alias("_sum"))
