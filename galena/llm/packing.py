@@ -91,4 +91,5 @@ def fill_containers(df: DataFrame, key: str, size: str, capacity: int, loss: Col
         out = pd.concat([packed, g[whole].assign(bin=np.arange(first, first + int(whole.sum())))])
         return pd.DataFrame({"_key": out["_key"], "piece": out["piece"], "size": out["size"], "container": out["g"].astype(str) + "-" + out["bin"].astype(int).astype(str)})
 
-    return pieces.groupBy("g").applyInPandas(run, f"_key {kind}, piece long, size long, container string").select(F.col("_key").alias(key), "piece", F.col("size"), "container")
+    # a partition a group or so: the packing is work for a task, however few bytes a group has
+    return pieces.repartition(groups, "g").groupBy("g").applyInPandas(run, f"_key {kind}, piece long, size long, container string").select(F.col("_key").alias(key), "piece", F.col("size"), "container")
