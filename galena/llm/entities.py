@@ -9,15 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galena.llm.names import activities, align, is_core, normalized, word_index
+from galena.llm.names import activities, activity_classes, align, is_core, normalized, word_index
 from galena.session import materialize
 
 #: Elements of a record's MinHash sketch, the smallest hashes of its elements; records of fewer are compared by all.
 SKETCH = 32
 #: At most so many labelled pairs fit the classifier (half of them calibrate it).
 SAMPLE = 20_000
-#: Side of a cell for nearness, in degrees.
-CELL = 0.01
+#: Side of a cell for nearness, in degrees: what lies within half of it is near.
+CELL = 0.02
 #: Pairs of names less alike are no candidates.
 LEAST = 0.6
 FEATURES = ["alike", "kept", "clash", "thin", "rivals", "same_commune", "other_commune", "same_dep", "near", "far", "same_ape", "other_ape"]
@@ -27,22 +27,21 @@ WITHHELD = ("XXX", "XXXX", "ANONYME", "CONFIDENTIEL", "CONFIDENTIELLE", "NC", "N
 
 
 def _sketched(records: DataFrame, index: DataFrame, side: str) -> DataFrame:
-    """(block, form) of records (form, place): the MinHash sketch of each record's elements across its attributes:
-    pairs of words, a word with another's initial, a word with the place. Words count by their lookup words. An
-    initial of side a meets only words of side b that are spelled out, and the reverse."""
+    """(block, f) of records (form, f, place): the MinHash sketch of each record's elements across its attributes:
+    pairs of words, a word with another's initial, a word with the place and how another word begins. Words count by
+    their lookup words. An initial of side a meets only words of side b that are spelled out, and the reverse."""
     own, other = ("a", "b") if side == "a" else ("b", "a")
-    split = records.select("form", "place", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
-    words = split.select("form", "word").distinct().join(index.select("word", "keys"), "word")
-    per = words.groupBy("form").agg(F.collect_list(F.struct("word", "keys")).alias("w"))
-    r = records.select("form", "place").distinct().join(per, "form").select("form", "place", "w", F.expr("filter(w, x -> length(x.word) > 1)").alias("f"), F.expr("filter(w, x -> length(x.word) = 1)").alias("i"))
+    split = records.select("form", "f").distinct().select("f", F.explode(F.array_distinct(F.split("form", " "))).alias("word")).where(is_core(F.col("word")))
+    per = split.join(index.select("word", "keys"), "word").groupBy("f").agg(F.collect_list(F.struct("word", "keys")).alias("w"))
+    r = records.select("f", F.coalesce("place", F.lit("")).alias("place")).distinct().join(per, "f").select("f", "place", F.expr("filter(w, x -> length(x.word) > 1)").alias("l"), F.expr("filter(w, x -> length(x.word) = 1)").alias("i"))
     # in a very long name each word is paired with the three after it
-    pair = F.expr("flatten(flatten(transform(f, (x, n) -> transform(filter(f, (y, m) -> m > n and (size(f) <= 8 or m <= n + 3)), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('pair', least(a, b), greatest(a, b)))))))))")
-    initial = F.expr("flatten(flatten(transform(i, y -> transform(f, x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % own)
-    spelled = F.expr("flatten(flatten(transform(f, x -> transform(filter(f, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % other)
-    placed = F.when(F.col("place").isNotNull(), F.expr("flatten(transform(f, x -> transform(x.keys, a -> xxhash64('place', a, place))))")).otherwise(F.array().cast("array<bigint>"))
-    alone = F.when(F.size("f") == 1, F.expr("transform(f, x -> xxhash64('alone', x.word))")).otherwise(F.array().cast("array<bigint>"))
+    pair = F.expr("flatten(flatten(transform(l, (x, n) -> transform(filter(l, (y, m) -> m > n and (size(l) <= 8 or m <= n + 3)), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('pair', least(a, b), greatest(a, b)))))))))")
+    initial = F.expr("flatten(flatten(transform(i, y -> transform(l, x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % own)
+    spelled = F.expr("flatten(flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % other)
+    placed = F.expr("flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word and place <> ''), y -> xxhash64('place', x.word, left(y.word, 2), place))))")
+    alone = F.when((F.size("l") == 1) & (F.size("i") == 0), F.expr("transform(l, x -> xxhash64('alone', x.word))")).otherwise(F.array().cast("array<bigint>"))
     sketch = F.slice(F.array_sort(F.array_distinct(F.concat(pair, initial, spelled, placed, alone))), 1, SKETCH)
-    return r.select("form", F.explode(sketch).alias("block")).distinct()
+    return r.select("f", F.explode(sketch).alias("block")).distinct()
 
 
 def _candidates(a: DataFrame, b: DataFrame, most: int = 2000) -> DataFrame:
@@ -52,7 +51,7 @@ def _candidates(a: DataFrame, b: DataFrame, most: int = 2000) -> DataFrame:
     one = lambda c: F.coalesce(c, F.lit(1))
 
     def sliced(x: DataFrame, name: str, mine: str, other: str, cell: object) -> DataFrame:
-        t = x.join(F.broadcast(hot), "block", "left").select("block", F.col("form").alias(name), one(F.col(mine)).alias("m"), one(F.col(other)).alias("o"))
+        t = x.join(F.broadcast(hot), "block", "left").select("block", F.col("f").alias(name), one(F.col(mine)).alias("m"), one(F.col(other)).alias("o"))
         own = F.pmod(F.xxhash64(name), F.col("m")).cast("int")
         return t.select("block", name, F.explode(F.transform(F.sequence(F.lit(0), F.col("o") - 1), lambda k: cell(own, k))).alias("cell"))
 
@@ -62,24 +61,21 @@ def _candidates(a: DataFrame, b: DataFrame, most: int = 2000) -> DataFrame:
 
 
 def _scored(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """(fa, fb, score, kept, clash, thin) of pairs of forms at least LEAST alike. words: (form, w) with weights."""
+    """(fa, fb, score, kept, clash, thin) of pairs of forms at least LEAST alike. words: (f, form, w) with weights."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for fa, fb, wa, wb in zip(b["fa"], b["fb"], b["wa"], b["wb"]):
-                if fa == fb:
-                    out.append((fa, fb, 1.0, True, False, False))
-                    continue
+            for fa, fb, na, nb, wa, wb in zip(b["fa"], b["fb"], b["na"], b["nb"], b["wa"], b["wb"]):
                 x, y = (([t["word"] for t in w], [t["weight"] for t in w], [bool(t["trusted"]) for t in w]) for w in (wa, wb))
                 share, kept, thin = align(x, y)
                 if share >= LEAST:
-                    ka, kb = activities(fa.split()), activities(fb.split())
+                    ka, kb = activities(na.split()), activities(nb.split())
                     out.append((fa, fb, share, kept, bool(ka and kb and not ka & kb), thin))
             yield pd.DataFrame(out, columns=["fa", "fb", "score", "kept", "clash", "thin"])
 
-    wa, wb = words.select(F.col("form").alias("fa"), F.col("w").alias("wa")), words.select(F.col("form").alias("fb"), F.col("w").alias("wb"))
-    return pairs.join(wa, "fa").join(wb, "fb").mapInPandas(run, "fa string, fb string, score double, kept boolean, clash boolean, thin boolean")
+    wa, wb = words.select(F.col("f").alias("fa"), F.col("form").alias("na"), F.col("w").alias("wa")), words.select(F.col("f").alias("fb"), F.col("form").alias("nb"), F.col("w").alias("wb"))
+    return pairs.join(wa, "fa").join(wb, "fb").mapInPandas(run, "fa long, fb long, score double, kept boolean, clash boolean, thin boolean")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -118,8 +114,9 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     offers: offre_id, entreprise_nom, code_commune, departement, code_ape, latitude, longitude; firms: siren,
     raison_sociale, enseigne, code_commune, departement, code_ape, latitude, longitude; any version.
 
-    Blocking: forms of names with their places get MinHash sketches over elements of several attributes (pairs of
-    words, word and initial, word and commune), in which mistyped words count as the register's words near them
+    Blocking: names that differ only in case, legal form or abbreviations meet by their core words. The other forms,
+    with their places, get MinHash sketches over elements of several attributes (pairs of words, word and initial,
+    word, place and beginning of another), in which mistyped words count as the register's words near them
     (symmetric-delete index). Pairs that share a sketch element are aligned word by word. Offers and firms meet by
     their aligned forms; agreement in commune, department, nearness and activity completes the features. Pairs that
     are plainly right (the very name, unique in the register, at a place of the firm) or plainly wrong label
@@ -132,7 +129,7 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     clean = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
     la, lo = F.col("latitude"), F.col("longitude")
     placed = la.isNotNull() & lo.isNotNull() & ~((la == 0) & (lo == 0)) & F.col("latitude").between(-90, 90)
-    cx, cy = F.when(placed, F.floor(la / CELL).cast("int")), F.when(placed, F.floor(lo / CELL).cast("int"))
+    cx, cy = F.when(placed, F.floor(la / CELL * 2).cast("int")), F.when(placed, F.floor(lo / CELL * 2).cast("int"))  # half cells
     mention = ["form", "commune", "dep", "ape", "cx", "cy"]
     said = offers.where(F.col("offre_id").isNotNull()).select("offre_id", normalized(F.col("entreprise_nom")).alias("form"), clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy"))
     said = materialize(said.where((F.col("form") != "") & ~F.col("form").isin(*WITHHELD)).distinct(), "offers")
@@ -140,36 +137,54 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     sites = materialize(firms.where(F.col("siren").isNotNull()).select("siren", names, clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")).distinct(), "sites")
     named = sites.where(F.col("form") != "")
 
-    # words of both sides; those of the register are trusted
+    # forms go by a 64-bit hash; the register's words are trusted
+    f = lambda: F.xxhash64("form").alias("f")
     forms = said.select("form", F.lit(False).alias("t")).unionByName(named.select("form", F.lit(True).alias("t"))).groupBy("form").agg(F.max("t").alias("t"))
-    split = forms.select("form", "t", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
-    df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("t").alias("trusted"))
+    core = F.filter(F.split("form", " "), is_core)
+    forms = materialize(forms.select("form", f(), "t", F.array_join(core, " ").alias("core"), activity_classes(F.split("form", " ")).alias("kinds")), "forms")
     total = forms.count()
+
+    # names with the same core words need no search: only case, legal form or abbreviations differ
+    offered, official = said.select(f()).distinct().join(forms, "f"), forms.where("t")
+    same = offered.where(F.col("core") != "").select(F.col("f").alias("fa"), "core", F.col("kinds").alias("ka")).join(official.select(F.col("f").alias("fb"), "core", F.col("kinds").alias("kb")), "core")
+    clash = (F.size("ka") > 0) & (F.size("kb") > 0) & ~F.arrays_overlap("ka", "kb")
+    same = materialize(same.select("fa", "fb", F.lit(1.0).alias("score"), F.lit(True).alias("kept"), clash.alias("clash"), F.lit(False).alias("thin")), "same")
+    open_ = offered.join(same.where(~F.col("clash")).select(F.col("fa").alias("f")).distinct(), "f", "left_anti")
+    open_ = materialize(open_.select("f", "form", F.lit(False).alias("t")), "open")
+
+    split = open_.unionByName(official.select("f", "form", "t")).select("f", "form", "t", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
+    df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("t").alias("trusted"))
     index = materialize(word_index(df, trusted_only=True).withColumn("weight", F.log(F.lit(float(total + 1)) / F.col("df"))), "words")
-    words = materialize(split.join(index, "word").groupBy("form").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w")), "forms")
-    a = _sketched(said.select("form", F.col("commune").alias("place")).distinct(), index, "a")
-    b = _sketched(named.select("form", F.col("commune").alias("place")).distinct(), index, "b")
-    alike = materialize(_scored(_candidates(a, b), words), "alike")
+    words = materialize(split.join(index.select("word", "weight", "trusted"), "word").groupBy("f", "form").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w")), "weighed")
+    a = _sketched(said.select("form", f(), F.col("commune").alias("place")).join(open_.select("f"), "f", "left_semi"), index, "a")
+    b = _sketched(named.select("form", f(), F.col("commune").alias("place")), index, "b")
+    alike = materialize(_scored(_candidates(a, b), words), "alike").unionByName(same).groupBy("fa", "fb").agg(F.max(F.struct("score", "kept", "clash", "thin")).alias("s")).select("fa", "fb", "s.*")
 
     # offers with the same employer, place and activity are one mention
     by = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in mention])
-    m = said.select(by.alias("mention"), *mention).distinct()
-    firm_of = named.select(F.col("form").alias("fb"), "siren").distinct()
+    m = said.select(by.alias("mention"), F.xxhash64("form").alias("fa"), *mention[1:]).distinct()
+    firm_of = named.select(F.xxhash64("form").alias("fb"), "siren").distinct()
     alone = firm_of.groupBy("fb").agg(F.count(F.lit(1)).alias("sirens"))
-    pairs = m.withColumnRenamed("form", "fa").join(alike, "fa").join(firm_of.join(alone, "fb"), "fb")
+    pairs = m.join(alike, "fa").join(firm_of.join(alone, "fb"), "fb")
     best = F.max(F.struct("score", F.expr("int(fa = fb)").alias("exact"), "kept", (~F.col("clash")).alias("agree"), (~F.col("thin")).alias("thick"), (-F.col("sirens")).alias("few")))
     pairs = pairs.groupBy("mention", "siren").agg(best.alias("s"), *[F.first(c).alias(c) for c in ("commune", "dep", "ape", "cx", "cy")])
-    tell = lambda kind, *c: F.concat_ws(":", F.lit(kind), *c)
-    have = lambda kind, c: F.when(F.col(c).isNotNull(), tell(kind, c))
-    facts = sites.select("siren", F.explode(F.array_compact(F.array(have("c", "commune"), have("d", "dep"), have("a", "ape"), F.when(F.col("cx").isNotNull(), tell("g", "cx", "cy"))))).alias("fact")).distinct()
-    around = F.array(*[F.when(F.col("cx").isNotNull(), tell("g", F.col("cx") + i, F.col("cy") + j)) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    asked = pairs.select("mention", "siren", F.explode(F.array_compact(F.concat(F.array(have("c", "commune"), have("d", "dep"), have("a", "ape")), around))).alias("fact"))
-    agree = asked.join(facts, ["siren", "fact"]).groupBy("mention", "siren").agg(*[F.max((F.substr("fact", F.lit(1), F.lit(1)) == k).cast("int")).alias(k) for k in "cdag"])
+    pairs = materialize(pairs.withColumn("pair", F.xxhash64("mention", "siren")), "pairs")
+
+    # agreement with any site of the firm, by an equi-join of hashed facts: commune, department, activity, cells
+    fact = lambda kind, *c: F.when(F.col(c[0]).isNotNull(), F.struct(F.lit(kind).alias("kind"), F.xxhash64(F.lit(kind), "siren", *[F.col(x) if isinstance(x, str) else x for x in c]).alias("fact")))
+    known = [fact("c", "commune"), fact("d", "dep"), fact("a", "ape")]
+    half = lambda c, i: F.floor((F.col(c) + i) / 2).cast("int")
+    around = [F.when(F.col("cx").isNotNull(), F.struct(F.lit("g").alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", i), half("cy", j)).alias("fact"))) for i in (-1, 1) for j in (-1, 1)]
+    here_ = F.when(F.col("cx").isNotNull(), F.struct(F.lit("g").alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", 0), half("cy", 0)).alias("fact")))
+    facts = sites.select(F.explode(F.array_compact(F.array(*known, here_))).alias("x")).select("x.fact").distinct()
+    asked = pairs.select("pair", F.explode(F.array_distinct(F.array_compact(F.array(*known, *around)))).alias("x")).select("pair", "x.kind", "x.fact")
+    agree = asked.join(facts, "fact", "left_semi").groupBy("pair").agg(*[F.max((F.col("kind") == k).cast("int")).alias(k) for k in "cdag"])
     yes = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
     no = lambda c, known: ((F.coalesce(F.col(c), F.lit(0)) == 0) & F.col(known).isNotNull()).cast("double")
-    x = pairs.join(agree, ["mention", "siren"], "left").select(
-        "mention", "siren", F.col("s.score").alias("score"), ((F.col("s.score") - LEAST) * 10).alias("alike"), F.col("s.exact").cast("double").alias("exact"), F.col("s.kept").cast("double").alias("kept"), (~F.col("s.agree")).cast("double").alias("clash"), (~F.col("s.thick")).cast("double").alias("thin"), F.log1p(F.count_if(F.col("s.score") >= 0.8).over(Window.partitionBy("mention")) - 1.0 * (F.col("s.score") >= 0.8).cast("int")).alias("rivals"),
-        yes("c").alias("same_commune"), no("c", "commune").alias("other_commune"), yes("d").alias("same_dep"), yes("g").alias("near"), no("g", "cx").alias("far"), yes("a").alias("same_ape"), no("a", "ape").alias("other_ape"), (F.col("s.few") == -1).alias("single"),
+    rivals = F.log1p(F.greatest(F.count_if(F.col("s.score") >= 0.8).over(Window.partitionBy("mention")) - (F.col("s.score") >= 0.8).cast("int"), F.lit(0)))
+    x = pairs.join(agree, "pair", "left").select(
+        "mention", "siren", F.col("s.score").alias("score"), ((F.col("s.score") - LEAST) * 10).alias("alike"), F.col("s.exact").cast("double").alias("exact"), F.col("s.kept").cast("double").alias("kept"), (~F.col("s.agree")).cast("double").alias("clash"),
+        (~F.col("s.thick")).cast("double").alias("thin"), rivals.alias("rivals"), yes("c").alias("same_commune"), no("c", "commune").alias("other_commune"), yes("d").alias("same_dep"), yes("g").alias("near"), no("g", "cx").alias("far"), yes("a").alias("same_ape"), no("a", "ape").alias("other_ape"), (F.col("s.few") == -1).alias("single"),
     )
     x = materialize(x, "features")
 

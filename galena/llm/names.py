@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galena.session import materialize
+
 # Accented capitals and what they become; words that carry no name (legal forms, titles, articles and
 # what announces them); words of activity with their usual abbreviations. All in capitals without accents.
 ACCENTED, PLAIN = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŸ", "AAAAAACEEEEIIIINOOOOOOUUUUYY"
@@ -71,6 +73,12 @@ def sounded(word: str) -> str:
     return "".join(c for i, c in enumerate(word) if not i or c != word[i - 1] or not c.isalpha())
 
 
+def activity_classes(words: Column) -> Column:
+    """The kinds of activity that an array of words tells, as a sorted array."""
+    kinds = F.create_map(*[F.lit(x) for w, k in ACTIVITY.items() if k for x in (w, k)])
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(words, lambda w: kinds[w]))))
+
+
 def _cut(word: Column) -> Column:
     """The word less each of its letters."""
     return F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
@@ -91,37 +99,48 @@ def _slips(a: Column, b: Column) -> Column:
     return F.when(d <= F.when(F.least(F.length(a), F.length(b)) < 7, 1).otherwise(2), d).otherwise(9)
 
 
-def _near_keys(word: Column) -> Column:
-    """Hashes under which a word meets its neighbours: itself as heard less up to two letters, and as written less one
-    (which finds a slip that changes how it is heard)."""
-    n = F.length(word)
-    one = F.when((n < 4) | (n > LONGEST) | word.rlike("[0-9]"), F.array(word)).otherwise(F.concat(F.array(word), _cut(word)))
-    return F.array_distinct(F.transform(F.concat(deletes(sound(word)), one), lambda x: F.xxhash64(x)))
+def _slips(a: Column, b: Column) -> Column:
+    """Levenshtein's distance up to 2, a swap of two letters as one; 9 if it is more."""
+    d = F.levenshtein(a, b, 2)
+    swap = (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    return F.when(d < 0, 9).when((d == 2) & swap, 1).otherwise(d)
+
+
+def _near(typed: DataFrame, other: DataFrame, keys: object, word: object, most: int) -> DataFrame:
+    """Distinct (a, b, t_b, d): words a of typed with the words b of other at most `most` slips away, of those that
+    are equal after deleting letters. Trusted words come first; others only if more frequent."""
+    rest = F.explode(F.transform(keys(word(F.col("word"))), lambda x: F.xxhash64(x))).alias("rest")
+    left = typed.select(F.col("word").alias("a"), word(F.col("word")).alias("ha"), F.col("df").alias("df_a"), rest)
+    right = other.select(F.col("word").alias("b"), word(F.col("word")).alias("hb"), F.col("df").alias("df_b"), F.col("trusted").alias("t_b"), rest)
+    ahead = F.col("t_b") | (F.col("df_b") > F.col("df_a")) | ((F.col("df_b") == F.col("df_a")) & (F.col("b") > F.col("a")))
+    met = left.join(right, "rest").where((F.col("a") != F.col("b")) & ahead & (F.abs(F.length("ha") - F.length("hb")) <= most))
+    limit = F.when(F.least(F.length("ha"), F.length("hb")) < 7, 1).otherwise(most)
+    return met.withColumn("d", _slips(F.col("ha"), F.col("hb"))).where(F.col("d") <= limit).select("a", "b", "t_b", "d").distinct()
+
+
+def _chosen(pairs: DataFrame) -> DataFrame:
+    """(word, more): the trusted words at the smallest distance, or all where none is trusted."""
+    best = pairs.groupBy("a").agg(F.min(F.when(F.col("t_b"), F.col("d"))).alias("dt"), F.collect_list(F.struct("d", "t_b", "b")).alias("c"))
+    return best.select(F.col("a").alias("word"), F.expr("transform(filter(c, x -> if(dt is null, true, x.t_b and x.d = dt)), x -> x.b)").alias("more"))
 
 
 def word_index(words: DataFrame, trusted_only: bool = False) -> DataFrame:
-    """(word, keys): under which words a word is looked up. words: (word, df, trusted), one row a word.
+    """(word, df, trusted, keys): under which words a word is looked up. words: (word, df, trusted), one row a word.
 
     A trusted word (of an official spelling) stands for itself. Any other also stands for the trusted words at the
     smallest edit distance, or, where there is none, for the more frequent words near it (unless trusted_only).
-    Symmetric delete: two words are near if deleting a letter or two from each can give the same; such pairs meet by
-    an equi-join on what is left, and Levenshtein's distance decides at once, before anything is shuffled again. A
-    delete joins few words, so no group of it grows with the data."""
-    long = words.where(F.length("word") >= 4)
-    keys = F.explode(_near_keys(F.col("word"))).alias("rest")
-    typed = long.where(~F.col("trusted")).select(F.col("word").alias("a"), *([] if trusted_only else [F.col("df").alias("df_a")]), keys)
-    other = (long.where("trusted") if trusted_only else long).select(F.col("word").alias("b"), *([] if trusted_only else [F.col("df").alias("df_b"), F.col("trusted").alias("t_b")]), keys)
-    pairs = typed.join(other, "rest")
-    if trusted_only:
-        pairs = pairs.withColumn("t_b", F.lit(True))
-    else:
-        pairs = pairs.where((F.col("a") != F.col("b")) & (F.col("t_b") | (F.col("df_b") > F.col("df_a")) | ((F.col("df_b") == F.col("df_a")) & (F.col("b") > F.col("a")))))
-    # as written or as heard, whichever is nearer
-    near = F.least(_slips(F.col("a"), F.col("b")), _slips(sound(F.col("a")), sound(F.col("b"))))
-    pairs = pairs.where(F.abs(F.length("a") - F.length("b")) <= 4).select("a", "b", "t_b", near.alias("d")).where(F.col("d") < 9).distinct()
-    best = pairs.groupBy("a").agg(F.min(F.when(F.col("t_b"), F.col("d"))).alias("dt"), F.collect_list(F.struct("d", "t_b", "b")).alias("c"))
-    chosen = best.select(F.col("a").alias("word"), F.expr("transform(filter(c, x -> if(dt is null, true, x.t_b and x.d = dt)), x -> x.b)").alias("more"))
-    return words.join(chosen, "word", "left").select("word", "df", "trusted", F.concat(F.array("word"), F.coalesce("more", F.array().cast("array<string>"))).alias("keys"))
+    Symmetric delete: two words are near if deleting letters from each can give the same; such pairs meet by an
+    equi-join on what is left, and Levenshtein's distance decides at once, before anything is shuffled again. One
+    letter is tried first; only words that find nothing are tried with two, as they sound. A delete joins few words,
+    so no group of it grows with the data."""
+    words = materialize(words, "vocabulary")
+    long = words.where((F.length("word") >= 4) & (F.length("word") <= LONGEST) & ~F.col("word").rlike("[0-9]"))
+    typed, other = long.where(~F.col("trusted")), (long.where("trusted") if trusted_only else long)
+    one = lambda w: F.array_distinct(F.concat(F.array(w), _cut(w)))
+    first = materialize(_chosen(_near(typed, other, one, lambda w: w, 1)), "near-1")
+    second = _chosen(_near(typed.join(first, "word", "left_anti"), other, deletes, sound, 2))
+    none = F.array().cast("array<string>")
+    return words.join(first.unionByName(second), "word", "left").select("word", "df", "trusted", F.concat(F.array("word"), F.coalesce("more", none)).alias("keys"))
 
 
 def edit(a: str, b: str, most: int) -> int:
