@@ -57,4 +57,18 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_fields, p3_found, p3_tables, p7_found)}
-SQL: dict[str, str] = {}
+_PLACE = "latitude is not null and longitude is not null and not (latitude = 0 and longitude = 0)"
+_METRES = "2 * 6371000e0 * asin(sqrt(pow(sin(radians(c.latitude - o.latitude) / 2), 2) + cos(radians(o.latitude)) * cos(radians(c.latitude)) * pow(sin(radians(c.longitude - o.longitude) / 2), 2)))"
+_OTHERS = (
+    "siren est_siege raison_sociale segment code_ape categorie_juridique forme_juridique date_creation anciennete_annees tranche_effectif est_ess adresse complement_adresse "
+    "code_postal commune code_commune departement enseigne x_lambert93 y_lambert93 ban_id est_diffusible"
+).split()
+_CHANGED = " or ".join([f"a.{c} is distinct from b.{c}" for c in _OTHERS] + [f"coalesce(abs(a.{c} - b.{c}) > 1e-6, (a.{c} is null) <> (b.{c} is null))" for c in COORDINATES])
+_VERSIONS = "with d as (select distinct * from cabinet), v as (select data_version as v, lag(data_version) over (order by data_version) as w from (select distinct data_version from cabinet)), a as (select d.*, w from d join v on data_version = v where w is not null), b as (select d.*, v from d join v on data_version = w)"
+
+SQL: dict[str, str] = {
+    "p1_found": f"with o as (select distinct offre_id, latitude, longitude from offre_emploi where offre_id is not null and {_PLACE}), c as (select distinct siret, latitude, longitude from cabinet where siret is not null and data_version = (select max(data_version) from cabinet) and {_PLACE}) select distinct offre_id, siret from o join c on abs(c.latitude - o.latitude) < 2e-3 and abs(c.longitude - o.longitude) < 4e-3 where {_METRES} <= 200",
+    "p2_found": f"{_VERSIONS} select data_version, siret, 'ajout' as changement from a where not exists (select 1 from b where b.v = a.data_version and b.siret = a.siret) union select v, siret, 'retrait' from b where not exists (select 1 from a where b.v = a.data_version and b.siret = a.siret) union select a.data_version, a.siret, 'modification' from a join b on b.v = a.data_version and b.siret = a.siret where {_CHANGED}",
+    "p2_fields": f"{_VERSIONS}, m as (select a.data_version, a.siret, unnest([{', '.join([f"case when a.{c} is distinct from b.{c} then '{c}' end" for c in _OTHERS] + [f"case when coalesce(abs(a.{c} - b.{c}) > 1e-6, (a.{c} is null) <> (b.{c} is null)) then '{c}' end" for c in COORDINATES])}]) as champ from a join b on b.v = a.data_version and b.siret = a.siret) select * from m where champ is not null",
+    "p7_found": "select kafka_partition, kafka_offset, ingest_date from (select *, lower(regexp_replace(coalesce(offre_id, case when json_valid(json) then json_extract_string(json, '$.id') end), '^\\s+|\\s+$', '', 'g')) as id from offre_brute) where id is not null qualify row_number() over (partition by id order by kafka_ts desc nulls last, ingest_date nulls last, kafka_partition, kafka_offset) > 1",
+}

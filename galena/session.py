@@ -58,3 +58,8 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Deletes what the queries of all sessions wrote to the shared folder; frames that still read it become unusable."""
+    remove_path(spark, f"{shared_dir(spark)}/galena")
