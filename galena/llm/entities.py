@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ from galena.session import materialize
 
 #: Elements of a record's MinHash sketch, the smallest hashes of its elements; records of fewer are compared by all.
 SKETCH = 32
+#: Two words are an element if they are rare enough together: the sum of ln(names / names with the word); in small
+#: tables at most 1.2 ln(names). A single word beside an initial: half of that.
+RARE = 11.0
 #: At most so many labelled pairs fit the classifier (half of them calibrate it).
 SAMPLE = 20_000
 #: Side of a cell for nearness, in degrees: what lies within half of it is near.
@@ -26,21 +30,23 @@ FEATURES = ["alike", "kept", "clash", "thin", "rivals", "same_commune", "other_c
 WITHHELD = ("XXX", "XXXX", "ANONYME", "CONFIDENTIEL", "CONFIDENTIELLE", "NC", "N C", "ENTREPRISE", "EMPLOYEUR NON COMMUNIQUE", "NON COMMUNIQUE", "NON RENSEIGNE", "NOTRE CLIENT")
 
 
-def _sketched(records: DataFrame, index: DataFrame, side: str) -> DataFrame:
+def _sketched(records: DataFrame, index: DataFrame, side: str, rare: float) -> DataFrame:
     """(block, f) of records (form, f, place): the MinHash sketch of each record's elements across its attributes:
     pairs of words, a word with another's initial, a word with the place and how another word begins. Words count by
-    their lookup words. An initial of side a meets only words of side b that are spelled out, and the reverse."""
+    their lookup words. An initial of side a meets only words of side b that are spelled out, and the reverse. Words
+    make an element if they are rare enough together, so that names do not meet by what many share, such as first
+    names; names of common words only meet by all of their words."""
     own, other = ("a", "b") if side == "a" else ("b", "a")
     split = records.select("form", "f").distinct().select("f", F.explode(F.array_distinct(F.split("form", " "))).alias("word")).where(is_core(F.col("word")))
-    per = split.join(index.select("word", "keys"), "word").groupBy("f").agg(F.collect_list(F.struct("word", "keys")).alias("w"))
+    per = split.join(index.select("word", "keys", "weight"), "word").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("word", "keys", "weight"))).alias("w"))
     r = records.select("f", F.coalesce("place", F.lit("")).alias("place")).distinct().join(per, "f").select("f", "place", F.expr("filter(w, x -> length(x.word) > 1)").alias("l"), F.expr("filter(w, x -> length(x.word) = 1)").alias("i"))
     # in a very long name each word is paired with the three after it
-    pair = F.expr("flatten(flatten(transform(l, (x, n) -> transform(filter(l, (y, m) -> m > n and (size(l) <= 8 or m <= n + 3)), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('pair', least(a, b), greatest(a, b)))))))))")
-    initial = F.expr("flatten(flatten(transform(i, y -> transform(l, x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % own)
-    spelled = F.expr("flatten(flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % other)
-    placed = F.expr("flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word and place <> ''), y -> xxhash64('place', x.word, left(y.word, 2), place))))")
-    alone = F.when((F.size("l") == 1) & (F.size("i") == 0), F.expr("transform(l, x -> xxhash64('alone', x.word))")).otherwise(F.array().cast("array<bigint>"))
-    sketch = F.slice(F.array_sort(F.array_distinct(F.concat(pair, initial, spelled, placed, alone))), 1, SKETCH)
+    pair = F.expr("flatten(flatten(transform(l, (x, n) -> transform(filter(l, (y, m) -> m > n and (size(l) <= 8 or m <= n + 3)), y -> if(x.weight + y.weight >= %f, flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('pair', least(a, b), greatest(a, b))))), cast(array() as array<bigint>))))))" % rare)
+    initial = F.expr("flatten(flatten(transform(i, y -> transform(filter(l, x -> x.weight >= %f), x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % (rare / 2, own))
+    spelled = F.expr("flatten(flatten(transform(filter(l, x -> x.weight >= %f), x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % (rare / 2, other))
+    placed = F.expr("flatten(transform(filter(l, x -> x.weight >= %f), x -> transform(filter(l, y -> y.word <> x.word and place <> ''), y -> xxhash64('place', x.word, left(y.word, 2), place))))" % (rare / 2))
+    some = F.concat(pair, initial, spelled, placed)
+    sketch = F.slice(F.array_sort(F.array_distinct(F.when(F.size(some) > 0, some).otherwise(F.array(F.xxhash64(F.lit("all"), F.transform("l", lambda x: x["word"])))))), 1, SKETCH)
     return r.select("f", F.explode(sketch).alias("block")).distinct()
 
 
@@ -143,6 +149,7 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     core = F.filter(F.split("form", " "), is_core)
     forms = materialize(forms.select("form", f(), "t", F.array_join(core, " ").alias("core"), activity_classes(F.split("form", " ")).alias("kinds")), "forms")
     total = forms.count()
+    rare = min(RARE, 1.2 * math.log(total + 1))
 
     # names with the same core words need no search: only case, legal form or abbreviations differ
     offered, official = said.select(f()).distinct().join(forms, "f"), forms.where("t")
@@ -156,8 +163,8 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("t").alias("trusted"))
     index = materialize(word_index(df, trusted_only=True).withColumn("weight", F.log(F.lit(float(total + 1)) / F.col("df"))), "words")
     words = materialize(split.join(index.select("word", "weight", "trusted"), "word").groupBy("f", "form").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w")), "weighed")
-    a = _sketched(said.select("form", f(), F.col("commune").alias("place")).join(open_.select("f"), "f", "left_semi"), index, "a")
-    b = _sketched(named.select("form", f(), F.col("commune").alias("place")), index, "b")
+    a = _sketched(said.select("form", f(), F.col("commune").alias("place")).join(open_.select("f"), "f", "left_semi"), index, "a", rare)
+    b = _sketched(named.select("form", f(), F.col("commune").alias("place")), index, "b", rare)
     alike = materialize(_scored(_candidates(a, b), words), "alike").unionByName(same).groupBy("fa", "fb").agg(F.max(F.struct("score", "kept", "clash", "thin")).alias("s")).select("fa", "fb", "s.*")
 
     # offers with the same employer, place and activity are one mention
