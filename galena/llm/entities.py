@@ -33,19 +33,19 @@ WITHHELD = ("XXX", "XXXX", "ANONYME", "CONFIDENTIEL", "CONFIDENTIELLE", "NC", "N
 def _sketched(records: DataFrame, index: DataFrame, side: str, rare: float) -> DataFrame:
     """(block, f) of records (form, f, place): the MinHash sketch of each record's elements across its attributes:
     pairs of words, a word with another's initial, a word with the place and how another word begins. Words count by
-    their lookup words. An initial of side a meets only words of side b that are spelled out, and the reverse. Words
+    their lookup words. An initial of side a meets only words of side b that are spelled out. Words
     make an element if they are rare enough together, so that names do not meet by what many share, such as first
     names; names of common words only meet by all of their words."""
-    own, other = ("a", "b") if side == "a" else ("b", "a")
     split = records.select("form", "f").distinct().select("f", F.explode(F.array_distinct(F.split("form", " "))).alias("word")).where(is_core(F.col("word")))
     per = split.join(index.select("word", "keys", "weight"), "word").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("word", "keys", "weight"))).alias("w"))
     r = records.select("f", F.coalesce("place", F.lit("")).alias("place")).distinct().join(per, "f").select("f", "place", F.expr("filter(w, x -> length(x.word) > 1)").alias("l"), F.expr("filter(w, x -> length(x.word) = 1)").alias("i"))
     # in a very long name each word is paired with the three after it
     pair = F.expr("flatten(flatten(transform(l, (x, n) -> transform(filter(l, (y, m) -> m > n and (size(l) <= 8 or m <= n + 3)), y -> if(x.weight + y.weight >= %f, flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('pair', least(a, b), greatest(a, b))))), cast(array() as array<bigint>))))))" % rare)
-    initial = F.expr("flatten(flatten(transform(i, y -> transform(filter(l, x -> x.weight >= %f), x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % (rare / 2, own))
-    spelled = F.expr("flatten(flatten(transform(filter(l, x -> x.weight >= %f), x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % (rare / 2, other))
+    initial = F.expr("flatten(flatten(transform(i, y -> transform(filter(l, x -> x.weight >= %f), x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % (rare / 2, "initial"))
+    spelled = F.expr("flatten(flatten(transform(filter(l, x -> x.weight >= %f), x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % (rare / 2, "initial"))
     placed = F.expr("flatten(transform(filter(l, x -> x.weight >= %f), x -> transform(filter(l, y -> y.word <> x.word and place <> ''), y -> xxhash64('place', x.word, left(y.word, 2), place))))" % (rare / 2))
-    some = F.concat(pair, initial, spelled, placed)
+    # the register spells its names out: initials are looked for in what was typed only
+    some = F.concat(pair, initial if side == "a" else spelled, placed)
     sketch = F.slice(F.array_sort(F.array_distinct(F.when(F.size(some) > 0, some).otherwise(F.array(F.xxhash64(F.lit("all"), F.transform("l", lambda x: x["word"])))))), 1, SKETCH)
     return r.select("f", F.explode(sketch).alias("block")).distinct()
 
@@ -137,10 +137,13 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     placed = la.isNotNull() & lo.isNotNull() & ~((la == 0) & (lo == 0)) & F.col("latitude").between(-90, 90)
     cx, cy = F.when(placed, F.floor(la / CELL * 2).cast("int")), F.when(placed, F.floor(lo / CELL * 2).cast("int"))  # half cells
     mention = ["form", "commune", "dep", "ape", "cx", "cy"]
-    said = offers.where(F.col("offre_id").isNotNull()).select("offre_id", normalized(F.col("entreprise_nom")).alias("form"), clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy"))
-    said = materialize(said.where((F.col("form") != "") & ~F.col("form").isin(*WITHHELD)).distinct(), "offers")
+    # repeated rows go before names are normalized: most of the cost of reading is there
+    raw = offers.where(F.col("offre_id").isNotNull() & F.col("entreprise_nom").isNotNull()).select("offre_id", "entreprise_nom", clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")).distinct()
+    said = raw.select("offre_id", normalized(F.col("entreprise_nom")).alias("form"), *mention[1:])
+    said = materialize(said.where((F.col("form") != "") & ~F.col("form").isin(*WITHHELD)), "offers")
     names = F.explode(F.array_distinct(F.array(normalized(F.col("raison_sociale")), normalized(F.col("enseigne"))))).alias("form")
-    sites = materialize(firms.where(F.col("siren").isNotNull()).select("siren", names, clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")).distinct(), "sites")
+    told = firms.where(F.col("siren").isNotNull()).select("siren", "raison_sociale", "enseigne", clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")).distinct()
+    sites = materialize(told.select("siren", names, *mention[1:]), "sites")
     named = sites.where(F.col("form") != "")
 
     # forms go by a 64-bit hash; the register's words are trusted
