@@ -164,7 +164,7 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
 
     split = open_.unionByName(official.select("f", "form", "t")).select("f", "form", "t", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
     df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("t").alias("trusted"))
-    index = materialize(word_index(df, trusted_only=True).withColumn("weight", F.log(F.lit(float(total + 1)) / F.col("df"))), "words")
+    index = materialize(word_index(df, trusted_only=True).withColumn("keys", F.transform("keys", lambda k: k["word"])).withColumn("weight", F.log(F.lit(float(total + 1)) / F.col("df"))), "words")
     words = materialize(split.join(index.select("word", "weight", "trusted"), "word").groupBy("f", "form").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w")), "weighed")
     a = _sketched(said.select("form", f(), F.col("commune").alias("place")).join(open_.select("f"), "f", "left_semi"), index, "a", rare)
     b = _sketched(named.select("form", f(), F.col("commune").alias("place")), index, "b", rare)

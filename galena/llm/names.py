@@ -91,56 +91,46 @@ def deletes(word: Column) -> Column:
     return F.when((n < 4) | (n > LONGEST) | word.rlike("[0-9]"), F.array(word)).when(n < 7, F.array_distinct(F.concat(F.array(word), one))).otherwise(F.array_distinct(F.concat(F.array(word), one, F.flatten(F.transform(one, _cut)))))
 
 
-def _slips(a: Column, b: Column) -> Column:
-    """Levenshtein's distance, a swap of two letters as one; 9 if over what the length allows."""
-    swap = (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
-    d = F.levenshtein(a, b)
-    d = F.when(swap & (d == 2), 1).otherwise(d)
-    return F.when(d <= F.when(F.least(F.length(a), F.length(b)) < 7, 1).otherwise(2), d).otherwise(9)
-
-
-def _slips(a: Column, b: Column) -> Column:
-    """Levenshtein's distance up to 2, a swap of two letters as one; 9 if it is more."""
-    d = F.levenshtein(a, b, 2)
-    swap = (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
-    return F.when(d < 0, 9).when((d == 2) & swap, 1).otherwise(d)
-
-
-def _near(typed: DataFrame, other: DataFrame, keys: object, word: object, most: int) -> DataFrame:
-    """Distinct (a, b, t_b, d): words a of typed with the words b of other at most `most` slips away, of those that
-    are equal after deleting letters. Trusted words come first; others only if more frequent."""
-    rest = F.explode(F.transform(keys(word(F.col("word"))), lambda x: F.xxhash64(x))).alias("rest")
-    left = typed.select(F.col("word").alias("a"), word(F.col("word")).alias("ha"), F.col("df").alias("df_a"), rest)
-    right = other.select(F.col("word").alias("b"), word(F.col("word")).alias("hb"), F.col("df").alias("df_b"), F.col("trusted").alias("t_b"), rest)
-    ahead = F.col("t_b") | (F.col("df_b") > F.col("df_a")) | ((F.col("df_b") == F.col("df_a")) & (F.col("b") > F.col("a")))
-    met = left.join(right, "rest").where((F.col("a") != F.col("b")) & ahead & (F.abs(F.length("ha") - F.length("hb")) <= most))
-    limit = F.when(F.least(F.length("ha"), F.length("hb")) < 7, 1).otherwise(most)
-    return met.withColumn("d", _slips(F.col("ha"), F.col("hb"))).where(F.col("d") <= limit).select("a", "b", "t_b", "d").distinct()
-
-
-def _chosen(pairs: DataFrame) -> DataFrame:
-    """(word, more): the trusted words at the smallest distance, or all where none is trusted."""
-    best = pairs.groupBy("a").agg(F.min(F.when(F.col("t_b"), F.col("d"))).alias("dt"), F.collect_list(F.struct("d", "t_b", "b")).alias("c"))
-    return best.select(F.col("a").alias("word"), F.expr("transform(filter(c, x -> if(dt is null, true, x.t_b and x.d = dt)), x -> x.b)").alias("more"))
+def _alike(a: Column, b: Column) -> Column:
+    """Whether `likeness` may take one for the other for its letters: all within its distances, where a swap of two
+    letters counts as one, and few besides."""
+    n = F.least(F.length(a), F.length(b))
+    d = F.levenshtein(a, b, 4)
+    odd = lambda x, y: F.size(F.array_except(F.split(x, ""), F.split(y, "")))
+    swapped = (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    short = F.when(d <= 1, True).when(d == 2, swapped).otherwise(False)
+    long = F.when(d <= 2, True).when(d == 3, (odd(a, b) <= 1) & (odd(b, a) <= 1)).otherwise(swapped)
+    return F.when(d == 0, True).when((d < 0) | (n < 4), False).when(n < 7, short).otherwise(long)
+
+
+def _near(typed: DataFrame, other: DataFrame | None = None) -> DataFrame:
+    """Distinct (a, b, df): words a of typed and other words b of other within the distances of `likeness`, as spelled
+    or as they sound, with b's df. Without other: of typed itself, both ways."""
+    w, h = F.col("word"), sound(F.col("word"))
+    rest = F.explode(F.transform(F.array_distinct(F.concat(deletes(w), deletes(h))), lambda x: F.xxhash64(x))).alias("rest")
+    side = lambda t, x: t.select(w.alias(x), h.alias("h" + x), F.col("df").alias("df_" + x), rest)
+    met = side(typed, "a").join(side(typed if other is None else other, "b"), "rest")
+    met = met.where((F.col("a") < F.col("b")) if other is None else (F.col("a") != F.col("b")))
+    met = met.where(_alike(F.col("a"), F.col("b")) | _alike(F.col("ha"), F.col("hb"))).select("a", "b", "df_a", "df_b").distinct()
+    one = met.select("a", "b", F.col("df_b").alias("df"))
+    return one if other is not None else one.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("df_a").alias("df")))
 
 
 def word_index(words: DataFrame, trusted_only: bool = False) -> DataFrame:
-    """(word, df, trusted, keys): under which words a word is looked up. words: (word, df, trusted), one row a word.
-
-    A trusted word (of an official spelling) stands for itself. Any other also stands for the trusted words at the
-    smallest edit distance, or, where there is none, for the more frequent words near it (unless trusted_only).
-    Symmetric delete: two words are near if deleting letters from each can give the same; such pairs meet by an
-    equi-join on what is left, and Levenshtein's distance decides at once, before anything is shuffled again. One
-    letter is tried first; only words that find nothing are tried with two, as they sound. A delete joins few words,
-    so no group of it grows with the data."""
+    """(word, df, trusted, keys): under which words a word is looked up, keys: array<struct<word, df>>, itself first.
+    words: (word, df, trusted), one row a word.
+
+    Every word also stands for all words within the distances that `likeness` allows, whatever else lies near it, so
+    what the index knows does not hang on the size of the vocabulary; if trusted_only, untrusted words stand for the
+    trusted words near them, and trusted ones for themselves. Symmetric delete: two words are near if deleting letters
+    from each, as spelled or as they sound, can give the same; such pairs meet by an equi-join on what is left, and
+    Levenshtein's distance decides at once, before anything is shuffled again."""
     words = materialize(words, "vocabulary")
     long = words.where((F.length("word") >= 4) & (F.length("word") <= LONGEST) & ~F.col("word").rlike("[0-9]"))
-    typed, other = long.where(~F.col("trusted")), (long.where("trusted") if trusted_only else long)
-    one = lambda w: F.array_distinct(F.concat(F.array(w), _cut(w)))
-    first = materialize(_chosen(_near(typed, other, one, lambda w: w, 1)), "near-1")
-    second = _chosen(_near(typed.join(first, "word", "left_anti"), other, deletes, sound, 2))
-    none = F.array().cast("array<string>")
-    return words.join(first.unionByName(second), "word", "left").select("word", "df", "trusted", F.concat(F.array("word"), F.coalesce("more", none)).alias("keys"))
+    near = _near(long.where(~F.col("trusted")), long.where("trusted")) if trusted_only else _near(long)
+    more = near.groupBy(F.col("a").alias("word")).agg(F.array_sort(F.collect_list(F.struct(F.col("b").alias("word"), "df"))).alias("more"))
+    own = F.array(F.struct("word", "df"))
+    return words.join(more, "word", "left").select("word", "df", "trusted", F.concat(own, F.coalesce("more", F.slice(own, 1, 0))).alias("keys"))
 
 
 def edit(a: str, b: str, most: int) -> int:
@@ -226,11 +216,19 @@ def assign(like: list[list[float]], gain: list[list[float]]) -> tuple[float, lis
 
 
 #: A name for alignment: its core words, their weights (rarity) and whether each is of an official spelling; its kinds of activity.
-def align(a: tuple[list[str], list[float], list[bool]], b: tuple[list[str], list[float], list[bool]]) -> tuple[float, bool, bool]:
+def align(a: tuple[list[str], list[float], list[bool]], b: tuple[list[str], list[float], list[bool]], doubt: float | None = None) -> tuple[float, bool, bool]:
     """(share of the lighter name's weight that finds a counterpart in the other, whether the order is kept, whether
-    an initial stands for a word). At least two words, or all of a name, must be matched."""
+    an initial stands for a word). At least two words, or all of a name, must be matched. Two different words of
+    official spellings are different names, or, with a doubt, as alike as any less that doubt."""
     (x, wx, tx), (y, wy, ty) = a, b
-    like = [[likeness(p, q, tx[i] and ty[j]) for j, q in enumerate(y)] for i, p in enumerate(x)]
+
+    def one(i: int, j: int) -> float:
+        p, q, official = x[i], y[j], tx[i] and ty[j]
+        if doubt is None or not official or p == q or min(len(p), len(q)) == 1:
+            return likeness(p, q, official)
+        return max(likeness(p, q) - doubt, 0.0)
+
+    like = [[one(i, j) for j in range(len(y))] for i in range(len(x))]
     gain = [[v * (max(wx[i], wy[j]) if min(len(x[i]), len(y[j])) == 1 else (wx[i] + wy[j]) / 2) for j, v in enumerate(r)] for i, r in enumerate(like)]
     total, pairs = assign(like, gain)
     if not pairs or (len(pairs) < 2 and min(len(x), len(y)) > 1):

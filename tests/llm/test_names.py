@@ -49,6 +49,22 @@ def test_variants(spark):
     assert variant_pairs(df.limit(0), "nom_id", "nom", "code_commune", F.lit(True)).count() == 0
 
 
+def _linked(spark, *given):
+    """Pairs of positions of (name, official) that are linked, all at one place, among other official names."""
+    r = random.Random(2)
+    rows = [(i, n, "r" if o else "o", "1") for i, (n, o) in enumerate(given)]
+    rows += [(100 + i, f"CABINET {r.choice(FIRMS[1:25])} {r.choice(FIRMS[25:38])}", "r", "2") for i in range(150)]
+    df = spark.createDataFrame(rows, "nom_id long, nom string, champ string, code_commune string")
+    return {tuple(x) for x in variant_pairs(df, "nom_id", "nom", "code_commune", F.col("champ") == "r").collect() if x[1] < 100}
+
+
+def test_official_names_have_slips(spark):
+    got = _linked(spark, ("SARL VRAIXTHAC BOUGRINAL AVOCATS", True), ("VRRAIXTHAC BOUGRINAL", True), ("TRONDNARD LAULLPEIX", True), ("TRRONDNARD LAAULLPEIX", True), ("Vraixthac & Bougrinal", False))
+    assert got == {(0, 1), (2, 3), (0, 4), (1, 4)}
+    # two slips in either word of official spellings are two names
+    assert _linked(spark, ("STESZIEUVAL PAIMEROLLE", True), ("PASSEROLLE STENIEUVAL", True)) == set()
+
+
 def test_entities(spark):
     r = random.Random(7)
     firms = [(f"{i:09d}", f"SARL {FIRMS[i % 50]} {FIRMS[(i * 7 + 11 + i // 50) % 50]} AVOCATS", None, f"{i % 40:05d}", f"{i % 40:05d}"[:2], "69.10Z", 45 + i / 100, 2.0) for i in range(150)]
