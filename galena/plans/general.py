@@ -15,7 +15,11 @@ from galena.sources.tables import table
 
 OFFER_NODES = (Node("lieu", "lieuTravail"), Node("salaire", "salaire", (Node("complement", "listeComplements"),)))
 EVENT_NODES = (Node("evenement", "", (Node("piece", "pieces"),)),)
+#: The same with the court of an event, an object of its own.
+EVENT_TABLES = (Node("evenement", "", (Node("piece", "pieces"), Node("tribunal", "tribunal"))),)
 OFFICER_NODES = (Node("dirigeant", "", (Node("representant", "representants"),)),)
+#: Fields of the objects, whatever their table.
+FIELDS = "libelle code latitude longitude commune codePostal commentaire type date detail url nb_pages ville numero nom qualite".split()
 COORDINATES = {"latitude": 1e-6, "longitude": 1e-6}
 
 
@@ -34,10 +38,10 @@ def p2_fields(spark: SparkSession, d: str) -> DataFrame:
     return snapshot_changes(table(spark, d, "cabinet"), "siret", "data_version", COORDINATES).select("data_version", "siret", F.explode("fields").alias("champ"))
 
 
-def _nodes(spark: SparkSession, d: str, values: bool) -> DataFrame:
+def _nodes(spark: SparkSession, d: str, values: bool, events: tuple[Node, ...] = EVENT_NODES) -> DataFrame:
     offers, firms, officers = table(spark, d, "offre_brute"), table(spark, d, "enrichissement"), table(spark, d, "recherche_entreprises")
     message = F.concat_ws(":", "kafka_partition", "kafka_offset")
-    return flatten(offers, message, F.col("json"), OFFER_NODES, values).unionByName(flatten(firms, F.col("siren"), F.col("bodacc_evenements"), EVENT_NODES, values)).unionByName(flatten(officers, F.col("siren"), F.col("dirigeants"), OFFICER_NODES, values))
+    return flatten(offers, message, F.col("json"), OFFER_NODES, values).unionByName(flatten(firms, F.col("siren"), F.col("bodacc_evenements"), events, values)).unionByName(flatten(officers, F.col("siren"), F.col("dirigeants"), OFFICER_NODES, values))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -45,11 +49,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_tables(spark: SparkSession, d: str) -> DataFrame:
-    """The flat tables with the fields of their objects and the link to the parent's label."""
-    n = _nodes(spark, d, True)
+    """The flat tables with the fields of their objects and the link to the parent's label; autres: the fields that have
+    no column and are no table of their own, as a JSON text, null if there are none."""
+    n = _nodes(spark, d, True, EVENT_TABLES)
     m = F.from_json("value", "map<string,string>")
+    inner = sorted(c.field for node in (*OFFER_NODES, *EVENT_TABLES, *OFFICER_NODES) for c in node.nested)
+    others = F.map_filter(m, lambda k, v: ~k.isin(*FIELDS, *inner) & v.isNotNull())
     dotted = lambda a: F.array_join(F.transform(a, lambda x: x.cast("string")), ".")
-    return n.select("relation", "parent_id", dotted(F.col("label")).alias("label"), dotted(F.slice("label", F.lit(1), F.size("label") - 1)).alias("parent_label"), *[m[c].alias(c) for c in ("libelle", "code", "latitude", "longitude", "commune", "type", "date", "nom", "qualite")])
+    return n.select("relation", "parent_id", dotted(F.col("label")).alias("label"), dotted(F.slice("label", F.lit(1), F.size("label") - 1)).alias("parent_label"), *[m[c].alias(c) for c in FIELDS], F.when(F.size(others) > 0, F.to_json(others)).alias("autres"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

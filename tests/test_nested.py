@@ -37,3 +37,21 @@ def test_column_as_root_values_and_empty(spark):
     rows = {(r["relation"], tuple(r["label"]), r["value"]) for r in flatten(df, F.col("id"), F.col("j"), tree).collect()}
     assert rows == {("e", (0,), '{"p":[{"q":1}]}'), ("p", (0, 0), '{"q":1}')}
     assert flatten(df.limit(0), F.col("id"), F.col("j"), tree).count() == 0
+
+
+def test_tables_keep_all_fields(spark, tmp_path):
+    from galena.plans.general import p3_found, p3_tables
+
+    tables = {
+        "offre_brute": ("kafka_partition int, kafka_offset long, json string", [(0, 1, json.dumps({"lieuTravail": {"codePostal": "75001", "commune": "75101"}, "salaire": {"commentaire": "selon profil", "listeComplements": [{"code": "1"}], "neuf": 3}}))]),
+        "enrichissement": ("siren string, bodacc_evenements string", [("s", json.dumps([{"type": "vente", "detail": "d", "url": "u", "tribunal": {"ville": "Lyon", "numero": 7}, "pieces": [{"nb_pages": 3}]}]))]),
+        "recherche_entreprises": ("siren string, dirigeants string", [("s", json.dumps([{"nom": "N"}]))]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.relation: r.asDict() for r in p3_tables(spark, str(tmp_path)).collect()}
+    assert got["lieu"]["codePostal"] == "75001" and got["salaire"]["commentaire"] == "selon profil" and got["piece"]["nb_pages"] == "3"
+    assert got["evenement"]["detail"] == "d" and got["evenement"]["url"] == "u"
+    assert (got["tribunal"]["ville"], got["tribunal"]["numero"], got["tribunal"]["parent_label"]) == ("Lyon", "7", got["evenement"]["label"])
+    assert json.loads(got["salaire"]["autres"]) == {"neuf": "3"} and got["evenement"]["autres"] is None
+    assert {r.relation for r in p3_found(spark, str(tmp_path)).collect()} == set(got) - {"tribunal"}
