@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from galena.llm.names import activities, activity_classes, align, is_core, normalized, word_index
 from galena.session import materialize
 
-#: Elements of a record's MinHash sketch, the smallest hashes of its elements; records of fewer are compared by all.
-SKETCH = 32
 #: Two words are an element if they are rare enough together: the sum of ln(names / names with the word); in small
 #: tables at most 1.2 ln(names). A single word beside an initial: half of that.
 RARE = 11.0
@@ -31,23 +29,28 @@ WITHHELD = ("XXX", "XXXX", "ANONYME", "CONFIDENTIEL", "CONFIDENTIELLE", "NC", "N
 
 
 def _sketched(records: DataFrame, index: DataFrame, side: str, rare: float) -> DataFrame:
-    """(block, f) of records (form, f, place): the MinHash sketch of each record's elements across its attributes:
+    """(block, f) of records (form, f, place): the hashes of all of each record's elements across its attributes:
     pairs of words, a word with another's initial, a word with the place and how another word begins. Words count by
     their lookup words. An initial of side a meets only words of side b that are spelled out. Words
     make an element if they are rare enough together, so that names do not meet by what many share, such as first
-    names; names of common words only meet by all of their words."""
+    names; names of common words only meet by all of their words, and any by one word and the place."""
     split = records.select("form", "f").distinct().select("f", F.explode(F.array_distinct(F.split("form", " "))).alias("word")).where(is_core(F.col("word")))
     per = split.join(index.select("word", "keys", "weight"), "word").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("word", "keys", "weight"))).alias("w"))
     r = records.select("f", F.coalesce("place", F.lit("")).alias("place")).distinct().join(per, "f").select("f", "place", F.expr("filter(w, x -> length(x.word) > 1)").alias("l"), F.expr("filter(w, x -> length(x.word) = 1)").alias("i"))
+    # keys carry weights of their own: whether an element is rare does not hang on the name that gives it
+    near = lambda x: f"filter({x}.keys, k -> k.weight >= {rare / 2})"
     # in a very long name each word is paired with the three after it
-    pair = F.expr("flatten(flatten(transform(l, (x, n) -> transform(filter(l, (y, m) -> m > n and (size(l) <= 8 or m <= n + 3)), y -> if(x.weight + y.weight >= %f, flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('pair', least(a, b), greatest(a, b))))), cast(array() as array<bigint>))))))" % rare)
-    initial = F.expr("flatten(flatten(transform(i, y -> transform(filter(l, x -> x.weight >= %f), x -> transform(x.keys, a -> xxhash64('%s', a, y.word))))))" % (rare / 2, "initial"))
-    spelled = F.expr("flatten(flatten(transform(filter(l, x -> x.weight >= %f), x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform(x.keys, a -> transform(y.keys, b -> xxhash64('%s', a, left(b, 1)))))))))" % (rare / 2, "initial"))
-    placed = F.expr("flatten(transform(filter(l, x -> x.weight >= %f), x -> transform(filter(l, y -> y.word <> x.word and place <> ''), y -> xxhash64('place', x.word, left(y.word, 2), place))))" % (rare / 2))
-    # the register spells its names out: initials are looked for in what was typed only
-    some = F.concat(pair, initial if side == "a" else spelled, placed)
-    sketch = F.slice(F.array_sort(F.array_distinct(F.when(F.size(some) > 0, some).otherwise(F.array(F.xxhash64(F.lit("all"), F.transform("l", lambda x: x["word"])))))), 1, SKETCH)
-    return r.select("f", F.explode(sketch).alias("block")).distinct()
+    pair = F.expr("flatten(flatten(transform(l, (x, n) -> transform(filter(l, (y, m) -> m > n and (size(l) <= 8 or m <= n + 3)), y -> flatten(transform(x.keys, a -> transform(filter(y.keys, b -> a.weight + b.weight >= %f), b -> xxhash64('pair', least(a.word, b.word), greatest(a.word, b.word)))))))))" % rare)
+    initial = F.expr(f"flatten(flatten(transform(i, y -> transform(l, x -> transform({near('x')}, a -> xxhash64('initial', a.word, y.word))))))")
+    spelled = F.expr(f"flatten(flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform({near('x')}, a -> transform(y.keys, b -> xxhash64('initial', a.word, left(b.word, 1)))))))))")
+    placed = F.expr(f"flatten(flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word and place <> ''), y -> transform({near('x')}, a -> xxhash64('place', a.word, left(y.word, 2), place))))))")
+    # names of common words only, or of one: all words by all their keys; one word also beside the place
+    common = F.expr("if(size(l) = 0, array(array('')), aggregate(l, array(cast(array() as array<struct<word: string, weight: double>>)), (done, x) -> flatten(transform(done, d -> transform(filter(x.keys, k -> not exists(d, e -> e.weight + k.weight >= %f)), k -> concat(d, array(k))))), done -> transform(done, d -> array_sort(transform(d, e -> e.word)))))" % rare)
+    every = F.transform(common, lambda d: F.xxhash64(F.lit("all"), d))
+    # a name of one word meets longer ones at its place, and the other way round
+    one = F.expr("if(place = '', cast(array() as array<bigint>), flatten(transform(l, x -> transform(x.keys, a -> xxhash64('one', a.word, place)))))")
+    some = F.concat(pair, initial if side == "a" else spelled, placed, every, one)
+    return r.select("f", F.explode(F.array_distinct(some)).alias("block")).distinct()
 
 
 def _candidates(a: DataFrame, b: DataFrame, most: int = 2000) -> DataFrame:
@@ -164,7 +167,8 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
 
     split = open_.unionByName(official.select("f", "form", "t")).select("f", "form", "t", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
     df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("t").alias("trusted"))
-    index = materialize(word_index(df, trusted_only=True).withColumn("keys", F.transform("keys", lambda k: k["word"])).withColumn("weight", F.log(F.lit(float(total + 1)) / F.col("df"))), "words")
+    weight = lambda df: F.log(F.lit(float(total + 1)) / df)
+    index = materialize(word_index(df, trusted_only=True).withColumns({"weight": weight(F.col("df")), "keys": F.transform("keys", lambda k: F.struct(k["word"].alias("word"), weight(k["df"]).alias("weight")))}), "words")
     words = materialize(split.join(index.select("word", "weight", "trusted"), "word").groupBy("f", "form").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w")), "weighed")
     a = _sketched(said.select("form", f(), F.col("commune").alias("place")).join(open_.select("f"), "f", "left_semi"), index, "a", rare)
     b = _sketched(named.select("form", f(), F.col("commune").alias("place")), index, "b", rare)

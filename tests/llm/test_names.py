@@ -65,6 +65,26 @@ def test_official_names_have_slips(spark):
     assert _linked(spark, ("STESZIEUVAL PAIMEROLLE", True), ("PASSEROLLE STENIEUVAL", True)) == set()
 
 
+def test_near_neighbours_hide_no_other(spark):
+    # REZULIN is one letter off REBULIN, RAIBULIN two
+    got = _linked(spark, ("PHALJOUZAT REBULIN", True), ("Phaljouzat Raibulin", False), ("GOUSTEIX REZULIN", True), ("CORDAVIX GREBULIN", True))
+    assert got == {(0, 1)}
+
+
+def _matched(spark, names, typed):
+    firm = lambda i, n: (f"{i:09d}", n, None, f"{i:05d}", "01", "69.10Z", 45 + i / 10, 2.0)
+    firms = [firm(i, n) for i, n in enumerate(names)] + [firm(1000 + i, f"{FIRMS[i % 50]} {FIRMS[(i * 7 + 11) % 50]}") for i in range(60)]
+    offers = [(f"o{i}", n, f"{at:05d}", "01", "69.10Z", 45 + at / 10, 2.0) for i, (n, at) in enumerate(typed)]
+    rest = "code_commune string, departement string, code_ape string, latitude double, longitude double"
+    got = match_entities(spark.createDataFrame(offers, f"offre_id string, entreprise_nom string, {rest}"), spark.createDataFrame(firms, f"siren string, raison_sociale string, enseigne string, {rest}"))
+    return {(r.offre_id, int(r.siren)) for r in got.collect()}
+
+
+def test_one_word_names_have_slips(spark):
+    assert _linked(spark, ("Treujuln Conseils", False), ("TREUJULIN CONSEILS", True)) == {(0, 1)}
+    assert _matched(spark, ["TREUJULIN CONSEILS", "PHALJOUZAT REBULIN"], [("Treujuln Conseils", 0), ("Phaljouzat", 1)]) == {("o0", 0), ("o1", 1)}
+
+
 def test_entities(spark):
     r = random.Random(7)
     firms = [(f"{i:09d}", f"SARL {FIRMS[i % 50]} {FIRMS[(i * 7 + 11 + i // 50) % 50]} AVOCATS", None, f"{i % 40:05d}", f"{i % 40:05d}"[:2], "69.10Z", 45 + i / 100, 2.0) for i in range(150)]
