@@ -52,12 +52,12 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return residue.residue(table(spark, d, "documents")).select("doc_id")
+    return residue.residue(table(spark, d, "documents"), group="siren").select("doc_id")
 
 
 def p10_windows(spark: SparkSession, d: str) -> DataFrame:
     """The best window of each document with residue and the share of the text that is residue."""
-    return residue.residue(table(spark, d, "documents"))
+    return residue.residue(table(spark, d, "documents"), group="siren")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_percentiles, p4_bounds, p4_combined, p5_found, p5_matches, p6_found, p8_ids, p9_containers, p10_found, p10_windows)}
