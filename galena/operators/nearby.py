@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galena.functions import sphere
+from galena.session import bounded
 
 _ROW = "bucket long, side int, code long, last long, id string, lat double, lon double"
 
@@ -52,10 +53,10 @@ def near_pairs(queries: DataFrame, points: DataFrame, radius_m: float, query_key
             yield pd.DataFrame({"bucket": lo >> down, "side": 1, "code": lo, "last": hi, "id": t["id"].to_numpy(), "lat": t["lat"].to_numpy(), "lon": t["lon"].to_numpy()})
 
     rows = p.mapInPandas(encode, _ROW).unionByName(q.mapInPandas(cover, _ROW))
-    # Cells over the limit are at most rows / limit many: a small table, whatever the data.
+    # cells over the limit are at most rows / limit many: broadcast if they are few, else joined like any table
     size = rows.groupBy("bucket").agg(F.count_if(F.col("side") == 0).alias("np"), F.count_if(F.col("side") == 1).alias("nq"))
     hot = size.where((F.col("np") > most_points) | (F.col("nq") > most_ranges)).select("bucket", F.ceil(F.greatest(F.col("np"), F.lit(1)) / most_points).cast("int").alias("sp"), F.ceil(F.greatest(F.col("nq"), F.lit(1)) / most_ranges).cast("int").alias("sq"))
-    rows = rows.join(F.broadcast(hot), "bucket", "left")
+    rows = rows.join(bounded(hot), "bucket", "left")
     sp, sq = F.coalesce("sp", F.lit(1)), F.coalesce("sq", F.lit(1))
     mine = F.pmod(F.xxhash64("id", "code"), F.when(F.col("side") == 0, sp).otherwise(sq)).cast("int")
     slices = F.when(F.col("side") == 0, F.transform(F.sequence(F.lit(0), sq - 1), lambda j: mine * sq + j)).otherwise(F.transform(F.sequence(F.lit(0), sp - 1), lambda i: i * sq + mine))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local: dict[str, str] = {}
 
@@ -23,16 +24,22 @@ def build_session(app: str = "galena", cores: str = "*", **conf: str) -> SparkSe
     )
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
-    return b.config("spark.ui.showConsoleProgress","false").getOrCreate()
+    return b.config("spark.ui.showConsoleProgress", "false").getOrCreate()
+
+
+class NoSharedFolder(RuntimeError):
+    """The session names no folder that all its executors share."""
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session. Only where that is unset
-    (tests on one machine) a temporary folder is made and set."""
+    """The folder all executors share: spark.checkpoint.dir of the session. Only on one machine (a local master, as in
+    tests) a temporary folder is made and set where that is unset; a cluster without one is an error."""
     conf = spark.sparkContext.getConf()
     at = conf.get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors reach")
     app = spark.sparkContext.applicationId
     if app not in _local:
         _local[app] = tempfile.mkdtemp(prefix="galena-")
@@ -53,6 +60,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A frame that is expected to be small, for a join: with at most `most` rows it is computed at once and broadcast;
+    else it stays as it is and Spark joins it like any other."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file system, so that any store works."""
     jvm = spark.sparkContext._jvm
