@@ -1,8 +1,7 @@
-"""Matching records of two sources that share no key: blocking by MinHash, pairwise features, a calibrated classifier."""
+"""Matching records of two sources that share no key: blocking by hashed elements, pairwise features, a calibrated classifier."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,13 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galena.llm.names import activities, activity_classes, align, is_core, normalized, word_index
+from galena.llm.blocks import candidates, elements, rarity, shortened, spelled, word_rows
+from galena.llm.names import activity_classes, align, is_core, normalized, word_index
 from galena.session import materialize
 
-#: Two words are an element if they are rare enough together: the sum of ln(names / names with the word); in small
-#: tables at most 1.2 ln(names). A single word beside an initial: half of that.
-RARE = 11.0
-#: At most so many labelled pairs fit the classifier (half of them calibrate it).
+#: At most so many labelled pairs, about, fit the classifier (half of them calibrate it).
 SAMPLE = 20_000
 #: Side of a cell for nearness, in degrees: what lies within half of it is near.
 CELL = 0.02
@@ -24,67 +21,24 @@ CELL = 0.02
 LEAST = 0.6
 FEATURES = ["alike", "kept", "clash", "thin", "rivals", "same_commune", "other_commune", "same_dep", "near", "far", "same_ape", "other_ape"]
 
-# Forms (as normalized) under which an employer stays unnamed.
-WITHHELD = ("XXX", "XXXX", "ANONYME", "CONFIDENTIEL", "CONFIDENTIELLE", "NC", "N C", "ENTREPRISE", "EMPLOYEUR NON COMMUNIQUE", "NON COMMUNIQUE", "NON RENSEIGNE", "NOTRE CLIENT")
-
-
-def _sketched(records: DataFrame, index: DataFrame, side: str, rare: float) -> DataFrame:
-    """(block, f) of records (form, f, place): the hashes of all of each record's elements across its attributes:
-    pairs of words, a word with another's initial, a word with the place and how another word begins. Words count by
-    their lookup words. An initial of side a meets only words of side b that are spelled out. Words
-    make an element if they are rare enough together, so that names do not meet by what many share, such as first
-    names; names of common words only meet by all of their words, and any by one word and the place."""
-    split = records.select("form", "f").distinct().select("f", F.explode(F.array_distinct(F.split("form", " "))).alias("word")).where(is_core(F.col("word")))
-    per = split.join(index.select("word", "keys", "weight"), "word").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("word", "keys", "weight"))).alias("w"))
-    r = records.select("f", F.coalesce("place", F.lit("")).alias("place")).distinct().join(per, "f").select("f", "place", F.expr("filter(w, x -> length(x.word) > 1)").alias("l"), F.expr("filter(w, x -> length(x.word) = 1)").alias("i"))
-    # keys carry weights of their own: whether an element is rare does not hang on the name that gives it
-    near = lambda x: f"filter({x}.keys, k -> k.weight >= {rare / 2})"
-    # in a very long name each word is paired with the three after it
-    pair = F.expr("flatten(flatten(transform(l, (x, n) -> transform(filter(l, (y, m) -> m > n and (size(l) <= 8 or m <= n + 3)), y -> flatten(transform(x.keys, a -> transform(filter(y.keys, b -> a.weight + b.weight >= %f), b -> xxhash64('pair', least(a.word, b.word), greatest(a.word, b.word)))))))))" % rare)
-    initial = F.expr(f"flatten(flatten(transform(i, y -> transform(l, x -> transform({near('x')}, a -> xxhash64('initial', a.word, y.word))))))")
-    spelled = F.expr(f"flatten(flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word), y -> flatten(transform({near('x')}, a -> transform(y.keys, b -> xxhash64('initial', a.word, left(b.word, 1)))))))))")
-    placed = F.expr(f"flatten(flatten(transform(l, x -> transform(filter(l, y -> y.word <> x.word and place <> ''), y -> transform({near('x')}, a -> xxhash64('place', a.word, left(y.word, 2), place))))))")
-    # names of common words only, or of one: all words by all their keys; one word also beside the place
-    common = F.expr("if(size(l) = 0, array(array('')), aggregate(l, array(cast(array() as array<struct<word: string, weight: double>>)), (done, x) -> flatten(transform(done, d -> transform(filter(x.keys, k -> not exists(d, e -> e.weight + k.weight >= %f)), k -> concat(d, array(k))))), done -> transform(done, d -> array_sort(transform(d, e -> e.word)))))" % rare)
-    every = F.transform(common, lambda d: F.xxhash64(F.lit("all"), d))
-    # a name of one word meets longer ones at its place, and the other way round
-    one = F.expr("if(place = '', cast(array() as array<bigint>), flatten(transform(l, x -> transform(x.keys, a -> xxhash64('one', a.word, place)))))")
-    some = F.concat(pair, initial if side == "a" else spelled, placed, every, one)
-    return r.select("f", F.explode(F.array_distinct(some)).alias("block")).distinct()
-
-
-def _candidates(a: DataFrame, b: DataFrame, most: int = 2000) -> DataFrame:
-    """Distinct (fa, fb) that share a block; blocks of more than most forms are cut into slices on both sides."""
-    n = a.withColumn("x", F.lit(0)).unionByName(b.withColumn("x", F.lit(1))).groupBy("block").agg(F.count_if(F.col("x") == 0).alias("na"), F.count_if(F.col("x") == 1).alias("nb"))
-    hot = n.where((F.col("na") > 0) & (F.col("nb") > 0) & ((F.col("na") > most) | (F.col("nb") > most))).select("block", F.ceil(F.col("na") / most).cast("int").alias("sa"), F.ceil(F.col("nb") / most).cast("int").alias("sb"))
-    one = lambda c: F.coalesce(c, F.lit(1))
-
-    def sliced(x: DataFrame, name: str, mine: str, other: str, cell: object) -> DataFrame:
-        t = x.join(F.broadcast(hot), "block", "left").select("block", F.col("f").alias(name), one(F.col(mine)).alias("m"), one(F.col(other)).alias("o"))
-        own = F.pmod(F.xxhash64(name), F.col("m")).cast("int")
-        return t.select("block", name, F.explode(F.transform(F.sequence(F.lit(0), F.col("o") - 1), lambda k: cell(own, k))).alias("cell"))
-
-    left = sliced(a, "fa", "sa", "sb", lambda own, k: F.struct(own.alias("i"), k.alias("j")))
-    right = sliced(b, "fb", "sb", "sa", lambda own, k: F.struct(k.alias("i"), own.alias("j")))
-    return left.join(right, ["block", "cell"]).select("fa", "fb").distinct()
+# Words that name nobody; an employer named by nothing else stays unnamed, as do rows of X.
+NOBODY = "NON COMMUNIQUE COMMUNIQUEE RENSEIGNE RENSEIGNEE PRECISE PRECISEE DIVULGUE ANONYME CONFIDENTIEL CONFIDENTIELLE INCONNU INCONNUE EMPLOYEUR ENTREPRISE SOCIETE RECRUTEUR CLIENT NOTRE UN UNE NOM N C NC NR ND".split()
 
 
 def _scored(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """(fa, fb, score, kept, clash, thin) of pairs of forms at least LEAST alike. words: (f, form, w) with weights."""
+    """(fa, fb, score, kept, thin) of pairs of names at least LEAST alike. words: (f, word, weight, trusted), arrays in order."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for fa, fb, na, nb, wa, wb in zip(b["fa"], b["fb"], b["na"], b["nb"], b["wa"], b["wb"]):
-                x, y = (([t["word"] for t in w], [t["weight"] for t in w], [bool(t["trusted"]) for t in w]) for w in (wa, wb))
-                share, kept, thin = align(x, y)
+            for fa, fb, *w in zip(*[b[c] for c in ("fa", "fb", "xa", "xb", "ya", "yb", "ta", "tb")]):
+                share, kept, thin = align((w[0], w[2], w[4]), (w[1], w[3], w[5]))
                 if share >= LEAST:
-                    ka, kb = activities(na.split()), activities(nb.split())
-                    out.append((fa, fb, share, kept, bool(ka and kb and not ka & kb), thin))
-            yield pd.DataFrame(out, columns=["fa", "fb", "score", "kept", "clash", "thin"])
+                    out.append((fa, fb, share, kept, thin))
+            yield pd.DataFrame(out, columns=["fa", "fb", "score", "kept", "thin"])
 
-    wa, wb = words.select(F.col("f").alias("fa"), F.col("form").alias("na"), F.col("w").alias("wa")), words.select(F.col("f").alias("fb"), F.col("form").alias("nb"), F.col("w").alias("wb"))
-    return pairs.join(wa, "fa").join(wb, "fb").mapInPandas(run, "fa long, fb long, score double, kept boolean, clash boolean, thin boolean")
+    side = lambda s: words.select(F.col("f").alias("f" + s), F.col("word").alias("x" + s), F.col("weight").alias("y" + s), F.col("trusted").alias("t" + s))
+    return pairs.join(side("a"), "fa").join(side("b"), "fb").mapInPandas(run, "fa long, fb long, score double, kept boolean, thin boolean")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -116,6 +70,43 @@ def fit_platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(c[0]), 0.05), float(c[1])
 
 
+def _named(df: DataFrame, name: str) -> DataFrame:
+    """(h, f, core, kinds) of the distinct non-null values of a column of names: their hash, their core words with the
+    hash of these, and the kinds of activity they tell. Names of no core word or that name nobody are left out."""
+    forms = df.where(F.col(name).isNotNull()).select(name).distinct().select(F.xxhash64(name).alias("h"), F.split(normalized(F.col(name)), " ").alias("words"))
+    nobody = F.forall("words", lambda w: w.isin(*NOBODY) | w.rlike("^X+$"))
+    core = F.array_join(F.filter("words", is_core), " ").alias("core")
+    out = forms.where(~nobody).select("h", core, activity_classes(F.col("words")).alias("kinds")).where(F.col("core") != "")
+    return out.select("h", F.xxhash64("core").alias("f"), "core", "kinds")
+
+
+def alike_names(typed: DataFrame, official: DataFrame, typed_places: DataFrame, official_places: DataFrame) -> DataFrame:
+    """(fa, fb, score, kept, thin): the typed and official names that an alignment of their words makes alike.
+    typed, official: (f, core), one row a name; places: (f, place).
+
+    Blocking: names meet by hashed elements of several attributes (pairs of words, a word with another's initial, a
+    word with the place), in which mistyped words count as the official words near them (symmetric-delete index)."""
+    forms = materialize(typed.withColumn("t", F.lit(False)).unionByName(official.withColumn("t", F.lit(True))).groupBy("f").agg(F.first("core").alias("form"), F.max("t").alias("official"), F.min("t").alias("only")), "forms")
+    n = forms.count()
+    split = forms.select("f", "official", F.posexplode(F.array_distinct(F.split("form", " "))).alias("pos", "word"))
+    weight = lambda df: F.log(F.lit(float(n + 1)) / df)
+    df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("official").alias("trusted"))
+    index = word_index(df, trusted_only=True).withColumns({"weight": weight(F.col("df")), "keys": F.transform("keys", lambda k: F.struct(k["word"].alias("word"), weight(k["df"]).alias("weight")))})
+    index = materialize(index, "words")
+    words = split.join(index.select("word", "weight", "trusted"), "word").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w"))
+    words = materialize(words.select("f", "w.word", "w.weight", "w.trusted"), "weighed")
+    # an official name that is also typed is on both sides
+    rows = materialize(word_rows(forms, index).join(forms.select("f", "official", "only"), "f"), "rows")
+    rare = rarity(n)
+    mine = rows.where(~F.col("only")).drop("official", "only")
+    theirs = rows.where("official").where("own").drop("official", "only")
+    short_a, short_b = (materialize(shortened(x, rare), "initials") for x in (mine, theirs))
+    a = elements(mine, rare, typed_places).unionByName(short_a).unionByName(spelled(mine, rare, short_b))
+    b = elements(theirs, rare, official_places).unionByName(short_b).unionByName(spelled(theirs, rare, short_a))
+    pairs = candidates(materialize(a, "typed"), materialize(b, "official"))
+    return _scored(pairs, words)
+
+
 def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5) -> DataFrame:
     """(offre_id, siren, confidence): for each offer that names its employer the best firm of the register, with a
     calibrated probability; offers without a firm of at least that probability give no row.
@@ -123,13 +114,11 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     offers: offre_id, entreprise_nom, code_commune, departement, code_ape, latitude, longitude; firms: siren,
     raison_sociale, enseigne, code_commune, departement, code_ape, latitude, longitude; any version.
 
-    Blocking: names that differ only in case, legal form or abbreviations meet by their core words. The other forms,
-    with their places, get MinHash sketches over elements of several attributes (pairs of words, word and initial,
-    word, place and beginning of another), in which mistyped words count as the register's words near them
-    (symmetric-delete index). Pairs that share a sketch element are aligned word by word. Offers and firms meet by
-    their aligned forms; agreement in commune, department, nearness and activity completes the features. Pairs that
-    are plainly right (the very name, unique in the register, at a place of the firm) or plainly wrong label
-    themselves; a bounded sample of them (SAMPLE) fits a logistic classifier, the held-out half calibrates it.
+    Names that differ only in case, legal form, activity or abbreviations have the same core words and are searched
+    once (alike_names). Offers and firms meet by their aligned names; agreement in commune, department, nearness and
+    activity completes the features. Pairs that are plainly right (the very name, unique in the register, at a place
+    of the firm) or plainly wrong label themselves; a bounded sample of them (SAMPLE) fits a logistic classifier, the
+    held-out half calibrates it.
 
     All rows of an offer agree; repeated rows count once (of differing rows each is tried and the best match kept).
     Null, blank, withheld and word-less names give no match. Equal probabilities: the smaller siren. Between firms
@@ -139,48 +128,29 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     la, lo = F.col("latitude"), F.col("longitude")
     placed = la.isNotNull() & lo.isNotNull() & ~((la == 0) & (lo == 0)) & F.col("latitude").between(-90, 90)
     cx, cy = F.when(placed, F.floor(la / CELL * 2).cast("int")), F.when(placed, F.floor(lo / CELL * 2).cast("int"))  # half cells
-    mention = ["form", "commune", "dep", "ape", "cx", "cy"]
-    # repeated rows go before names are normalized: most of the cost of reading is there
-    raw = offers.where(F.col("offre_id").isNotNull() & F.col("entreprise_nom").isNotNull()).select("offre_id", "entreprise_nom", clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")).distinct()
-    said = raw.select("offre_id", normalized(F.col("entreprise_nom")).alias("form"), *mention[1:])
-    said = materialize(said.where((F.col("form") != "") & ~F.col("form").isin(*WITHHELD)), "offers")
-    names = F.explode(F.array_distinct(F.array(normalized(F.col("raison_sociale")), normalized(F.col("enseigne"))))).alias("form")
-    told = firms.where(F.col("siren").isNotNull()).select("siren", "raison_sociale", "enseigne", clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")).distinct()
-    sites = materialize(told.select("siren", names, *mention[1:]), "sites")
-    named = sites.where(F.col("form") != "")
-
-    # forms go by a 64-bit hash; the register's words are trusted
-    f = lambda: F.xxhash64("form").alias("f")
-    forms = said.select("form", F.lit(False).alias("t")).unionByName(named.select("form", F.lit(True).alias("t"))).groupBy("form").agg(F.max("t").alias("t"))
-    core = F.filter(F.split("form", " "), is_core)
-    forms = materialize(forms.select("form", f(), "t", F.array_join(core, " ").alias("core"), activity_classes(F.split("form", " ")).alias("kinds")), "forms")
-    total = forms.count()
-    rare = min(RARE, 1.2 * math.log(total + 1))
-
-    # names with the same core words need no search: only case, legal form or abbreviations differ
-    offered, official = said.select(f()).distinct().join(forms, "f"), forms.where("t")
-    same = offered.where(F.col("core") != "").select(F.col("f").alias("fa"), "core", F.col("kinds").alias("ka")).join(official.select(F.col("f").alias("fb"), "core", F.col("kinds").alias("kb")), "core")
-    clash = (F.size("ka") > 0) & (F.size("kb") > 0) & ~F.arrays_overlap("ka", "kb")
-    same = materialize(same.select("fa", "fb", F.lit(1.0).alias("score"), F.lit(True).alias("kept"), clash.alias("clash"), F.lit(False).alias("thin")), "same")
-    open_ = offered.join(same.where(~F.col("clash")).select(F.col("fa").alias("f")).distinct(), "f", "left_anti")
-    open_ = materialize(open_.select("f", "form", F.lit(False).alias("t")), "open")
-
-    split = open_.unionByName(official.select("f", "form", "t")).select("f", "form", "t", F.posexplode(F.split("form", " ")).alias("pos", "word")).where(is_core(F.col("word")))
-    df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("t").alias("trusted"))
-    weight = lambda df: F.log(F.lit(float(total + 1)) / df)
-    index = materialize(word_index(df, trusted_only=True).withColumns({"weight": weight(F.col("df")), "keys": F.transform("keys", lambda k: F.struct(k["word"].alias("word"), weight(k["df"]).alias("weight")))}), "words")
-    words = materialize(split.join(index.select("word", "weight", "trusted"), "word").groupBy("f", "form").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w")), "weighed")
-    a = _sketched(said.select("form", f(), F.col("commune").alias("place")).join(open_.select("f"), "f", "left_semi"), index, "a", rare)
-    b = _sketched(named.select("form", f(), F.col("commune").alias("place")), index, "b", rare)
-    alike = materialize(_scored(_candidates(a, b), words), "alike").unionByName(same).groupBy("fa", "fb").agg(F.max(F.struct("score", "kept", "clash", "thin")).alias("s")).select("fa", "fb", "s.*")
+    place = [clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")]
+    attributes = ["f", "kinds", "commune", "dep", "ape", "cx", "cy"]
+    typed = materialize(_named(offers, "entreprise_nom"), "typed-names")
+    both = firms.where(F.col("siren").isNotNull()).select("siren", F.explode(F.array("raison_sociale", "enseigne")).alias("name")).where(F.col("name").isNotNull())
+    official = _named(both, "name")
+    firm_of = materialize(both.distinct().select("siren", F.xxhash64("name").alias("h")).join(official, "h").select("f", "core", "kinds", "siren").distinct(), "firm-names")
 
     # offers with the same employer, place and activity are one mention
-    by = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in mention])
-    m = said.select(by.alias("mention"), F.xxhash64("form").alias("fa"), *mention[1:]).distinct()
-    firm_of = named.select(F.xxhash64("form").alias("fb"), "siren").distinct()
-    alone = firm_of.groupBy("fb").agg(F.count(F.lit(1)).alias("sirens"))
-    pairs = m.join(alike, "fa").join(firm_of.join(alone, "fb"), "fb")
-    best = F.max(F.struct("score", F.expr("int(fa = fb)").alias("exact"), "kept", (~F.col("clash")).alias("agree"), (~F.col("thin")).alias("thick"), (-F.col("sirens")).alias("few")))
+    by = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in attributes])
+    said = offers.where(F.col("offre_id").isNotNull() & F.col("entreprise_nom").isNotNull()).select("offre_id", F.xxhash64("entreprise_nom").alias("h"), *place)
+    said = said.join(typed.select("h", "f", "kinds"), "h").select("offre_id", by.alias("mention"), *attributes)
+    said = materialize(said.distinct(), "offers")
+    m = materialize(said.drop("offre_id").distinct(), "mentions")
+    towns = firms.select("siren", clean("code_commune").alias("place")).distinct()
+    alike = materialize(
+        alike_names(typed.select("f", "core").distinct(), firm_of.select("f", "core").distinct(), m.select("f", F.col("commune").alias("place")).distinct(), firm_of.select("f", "siren").distinct().join(towns, "siren").select("f", "place").distinct()), "alike"
+    )
+
+    known = firm_of.select(F.col("f").alias("fb"), F.col("kinds").alias("kb"), "siren")
+    alone = known.groupBy("fb").agg(F.count_distinct("siren").alias("sirens"))
+    pairs = m.withColumnsRenamed({"f": "fa", "kinds": "ka"}).join(alike, "fa").join(known.join(alone, "fb"), "fb")
+    agree = ~((F.size("ka") > 0) & (F.size("kb") > 0) & ~F.arrays_overlap("ka", "kb"))
+    best = F.max(F.struct("score", F.expr("int(fa = fb)").alias("exact"), "kept", agree.alias("agree"), (~F.col("thin")).alias("thick"), (-F.col("sirens")).alias("few")))
     pairs = pairs.groupBy("mention", "siren").agg(best.alias("s"), *[F.first(c).alias(c) for c in ("commune", "dep", "ape", "cx", "cy")])
     pairs = materialize(pairs.withColumn("pair", F.xxhash64("mention", "siren")), "pairs")
 
@@ -190,7 +160,7 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     half = lambda c, i: F.floor((F.col(c) + i) / 2).cast("int")
     around = [F.when(F.col("cx").isNotNull(), F.struct(F.lit("g").alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", i), half("cy", j)).alias("fact"))) for i in (-1, 1) for j in (-1, 1)]
     here_ = F.when(F.col("cx").isNotNull(), F.struct(F.lit("g").alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", 0), half("cy", 0)).alias("fact")))
-    facts = sites.select(F.explode(F.array_compact(F.array(*known, here_))).alias("x")).select("x.fact").distinct()
+    facts = firms.where(F.col("siren").isNotNull()).select("siren", *place).select(F.explode(F.array_compact(F.array(*known, here_))).alias("x")).select("x.fact").distinct()
     asked = pairs.select("pair", F.explode(F.array_distinct(F.array_compact(F.array(*known, *around)))).alias("x")).select("pair", "x.kind", "x.fact")
     agree = asked.join(facts, "fact", "left_semi").groupBy("pair").agg(*[F.max((F.col("kind") == k).cast("int")).alias(k) for k in "cdag"])
     yes = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
@@ -209,9 +179,13 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     per = x.groupBy("mention").agg(F.max(sure).alias("settled"))
     wrong = ((F.col("score") < 0.75) & ~here) | (F.col("clash") > 0) & (F.col("other_ape") > 0) | ((F.col("thin") > 0) & (F.col("other_commune") > 0) & ~here) | (F.col("settled") & ~sure)
     label = F.when(sure, 1).when(wrong, 0)
-    labelled = x.join(per, "mention").select(*FEATURES, label.alias("y"), F.xxhash64("mention", "siren").alias("h")).where(F.col("y").isNotNull())
-    # two bounded samples by hash, as many of either label as there are up to the bound
-    sample = pd.concat([labelled.where(F.col("y") == k).orderBy("h", *FEATURES).limit(SAMPLE // 2).toPandas() for k in (0, 1)])
+    labelled = materialize(x.join(per, "mention").select(*FEATURES, label.alias("y"), F.xxhash64("mention", "siren").alias("h")).where(F.col("y").isNotNull()), "labelled")
+    # a bounded sample of either label: the rows whose hash is under a bound that lets about so many through
+    have = {r.y: r.n for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bound = F.lit(None).cast("double")
+    for y, n in have.items():
+        bound = F.when(F.col("y") == y, min(1.0, SAMPLE / 2 / n)).otherwise(bound)
+    sample = labelled.where(F.shiftrightunsigned("h", 11) * 2.0**-53 <= bound).orderBy("h", *FEATURES).toPandas()
     coefficients, (slope, shift) = _fit(sample)
     z = sum((F.col(f) * float(c) for f, c in zip(FEATURES, coefficients)), F.lit(float(coefficients[-1]))) * slope + shift
     rated = x.withColumn("z", z).withColumn("p", 1 / (1 + F.exp(-F.least(F.greatest(F.col("z"), F.lit(-30.0)), F.lit(30.0)))))
@@ -221,7 +195,7 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     odds = F.exp(F.least(F.col("z"), F.lit(30.0)))
     rated = rated.withColumns({"p": F.when(F.sum("p").over(w) > 1, F.col("p") * odds / F.sum(odds).over(w)).otherwise(F.col("p")), "r": F.row_number().over(first)})
     chosen = rated.where((F.col("r") == 1) & (F.col("p") >= probability)).select("mention", "siren", F.col("p").alias("confidence"))
-    out = said.select("offre_id", by.alias("mention")).distinct().join(chosen, "mention")
+    out = said.select("offre_id", "mention").distinct().join(chosen, "mention")
     last = Window.partitionBy("offre_id").orderBy(F.col("confidence").desc(), "siren")
     return out.withColumn("r", F.row_number().over(last)).where(F.col("r") == 1).select("offre_id", "siren", "confidence")
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,18 +29,22 @@ ACTIVITY_WORDS = {
     "patrimoine": "PATRIMOINE PATRIM PATRI GESTION GEST PRIVEE PRIV FINANCE FIN FINANCES COURTAGE COURT",
     "foncier": "PROMOTION PROMO IMMOBILIER IMMO IMMOBILIERE CONSTRUCTION CONSTR DEVELOPPEMENT DEV FONCIER FONC",
     "bureaux": "DOMICILIATION DOMICIL DOM BUREAUX BUR SERVICES SERV BUSINESS BUS CENTER CTR CENTRE",
-    "interim": "INTERIM TRAVAIL TEMPORAIRE",
-    "logistique": "LOGISTIQUE TRANSPORT TRANSPORTS",
-    "table": "BOULANGERIE RESTAURATION RESTAURANT TRAITEUR HOTEL",
-    "soin": "CLINIQUE PHARMACIE HOPITAL EHPAD",
-    "garage": "GARAGE CARROSSERIE AUTOMOBILES",
-    "commune": "MAIRIE COMMUNE DEPARTEMENT",
+    "emploi": "INTERIM INTERIMAIRE TRAVAIL TEMPORAIRE INSERTION PLACEMENT PORTAGE",
+    "transport": "TRANSPORT TRANSPORTS LOGISTIQUE MESSAGERIE DEMENAGEMENT DEMENAGEMENTS TAXI TAXIS AMBULANCE AMBULANCES FRET",
+    "table": "BOULANGERIE PATISSERIE BOUCHERIE CHARCUTERIE EPICERIE RESTAURATION RESTAURANT BRASSERIE PIZZERIA TRAITEUR HOTEL CAMPING",
+    "soin": "CLINIQUE PHARMACIE HOPITAL HOSPITALIER EHPAD DENTAIRE MEDICAL INFIRMIER VETERINAIRE OPTIQUE OPTICIEN LABORATOIRE",
+    "auto": "GARAGE CARROSSERIE AUTOMOBILE AUTOMOBILES PNEUS MOTOS",
+    "metiers": "PLOMBERIE CHAUFFAGE ELECTRICITE MENUISERIE CHARPENTE MACONNERIE PEINTURE TOITURE COUVERTURE SERRURERIE METALLERIE PAYSAGE ESPACES",
+    "commerce": "SUPERMARCHE LIBRAIRIE FLEURISTE BIJOUTERIE COIFFURE ESTHETIQUE PRESSING IMPRIMERIE MAGASIN",
+    "public": "MAIRIE COMMUNE DEPARTEMENT PREFECTURE COMMUNAUTE METROPOLE SYNDICAT ECOLE LYCEE COLLEGE UNIVERSITE CRECHE",
     "": "CONSEIL CONSEILS CSL ASSOCIES ASSOCIE ASS ASSOC",
 }
 ACTIVITY = {w: k for k, ws in ACTIVITY_WORDS.items() for w in ws.split()}
 _EMPTY = frozenset(EMPTY_WORDS)
-#: Words longer than this are compared only as they are: their deletes would be too many.
+#: Words of up to so many letters are indexed by what is left after deletes, longer ones by their parts.
 LONGEST = 32
+#: A long word is cut into so many parts: two slips, be they swaps across a cut, spoil at most four.
+PARTS = 5
 
 
 def normalized(name: Column) -> Column:
@@ -79,16 +88,25 @@ def activity_classes(words: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.transform(words, lambda w: kinds[w]))))
 
 
-def _cut(word: Column) -> Column:
-    """The word less each of its letters."""
-    return F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
+def _deletes(word: str) -> set[str]:
+    """The word and what is left of it after deleting up to one letter (4 to 6 letters) or two (7 and more)."""
+    n = len(word)
+    out = {word}
+    if n >= 4:
+        out.update([word[:i] + word[i + 1 :] for i in range(n)])
+    if n >= 7:
+        out.update([word[:i] + word[i + 1 : j] + word[j + 1 :] for i in range(n) for j in range(i + 1, n)])
+    return out
 
 
-def deletes(word: Column) -> Column:
-    """The word and what is left of it after deleting up to one letter (4 to 6 letters) or two (7 and more)."""
-    one = _cut(word)
-    n = F.length(word)
-    return F.when((n < 4) | (n > LONGEST) | word.rlike("[0-9]"), F.array(word)).when(n < 7, F.array_distinct(F.concat(F.array(word), one))).otherwise(F.array_distinct(F.concat(F.array(word), one, F.flatten(F.transform(one, _cut)))))
+def _part_keys(word: str) -> tuple[list[str], list[str]]:
+    """(own, sought) keys of a long word: its PARTS parts, and what the parts of a word of nearly the same length that
+    is two slips away may be, shifted by up to two letters. Of PARTS parts one is then left whole."""
+    n = len(word)
+    cut = lambda n, i: n * i // PARTS
+    own = [f"{n} {i} {word[cut(n, i) : cut(n, i + 1)]}" for i in range(PARTS)]
+    sought = {f"{m} {i} {word[a : a + cut(m, i + 1) - cut(m, i)]}" for m in range(n - 2, n + 3) for i in range(PARTS) for s in range(-2, 3) for a in [cut(m, i) + s] if a >= 0}
+    return own, sorted(sought)
 
 
 def _alike(a: Column, b: Column) -> Column:
@@ -103,15 +121,41 @@ def _alike(a: Column, b: Column) -> Column:
     return F.when(d == 0, True).when((d < 0) | (n < 4), False).when(n < 7, short).otherwise(long)
 
 
+def _rests(words: DataFrame, sought: bool) -> DataFrame:
+    """(rest, w): hashes of the keys under which each word is found, as spelled and as it sounds. words: (w, word), w
+    a number of the word. sought: the side that looks for the other's parts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rests, sizes = [], []
+            for word in b["word"]:
+                keys: set[str] = set()
+                for x in {word, sounded(word)}:
+                    if len(x) <= LONGEST:
+                        keys |= _deletes(x)
+                    if len(x) > LONGEST - 3:
+                        keys.update(_part_keys(x)[sought])
+                rests += [xxhash.xxh3_64_intdigest(k) >> 1 for k in keys]
+                sizes.append(len(keys))
+            yield pd.DataFrame({"rest": np.array(rests, np.int64), "w": np.repeat(b["w"].to_numpy(), sizes)})
+
+    return words.select("w", "word").mapInPandas(run, "rest long, w long")
+
+
 def _near(typed: DataFrame, other: DataFrame | None = None) -> DataFrame:
     """Distinct (a, b, df): words a of typed and other words b of other within the distances of `likeness`, as spelled
-    or as they sound, with b's df. Without other: of typed itself, both ways."""
-    w, h = F.col("word"), sound(F.col("word"))
-    rest = F.explode(F.transform(F.array_distinct(F.concat(deletes(w), deletes(h))), lambda x: F.xxhash64(x))).alias("rest")
-    side = lambda t, x: t.select(w.alias(x), h.alias("h" + x), F.col("df").alias("df_" + x), rest)
-    met = side(typed, "a").join(side(typed if other is None else other, "b"), "rest")
-    met = met.where((F.col("a") < F.col("b")) if other is None else (F.col("a") != F.col("b")))
-    met = met.where(_alike(F.col("a"), F.col("b")) | _alike(F.col("ha"), F.col("hb"))).select("a", "b", "df_a", "df_b").distinct()
+    or as they sound, with b's df. Without other: of typed itself, both ways. What is shuffled are numbers of words;
+    the words themselves join the pairs once, for the distance to decide."""
+    number = F.xxhash64("word").alias("w")
+    numbered = lambda t: t.select(number, "word", "df", sound(F.col("word")).alias("heard"))
+    left, right = numbered(typed), numbered(typed if other is None else other)
+    met = _rests(left, True).withColumnRenamed("w", "wa").join(_rests(right, False).withColumnRenamed("w", "wb"), "rest").where(F.col("wa") != F.col("wb"))
+    if other is None:  # each pair once: of long words one side finds the other's parts, whichever it is
+        met = met.select(F.least("wa", "wb").alias("wa"), F.greatest("wa", "wb").alias("wb"))
+    met = met.select("wa", "wb").distinct()
+    a, b = left.select(F.col("w").alias("wa"), F.col("word").alias("a"), F.col("heard").alias("ha"), F.col("df").alias("df_a")), right.select(F.col("w").alias("wb"), F.col("word").alias("b"), F.col("heard").alias("hb"), F.col("df").alias("df_b"))
+    met = met.join(a, "wa").join(b, "wb")
+    met = met.where(_alike(F.col("a"), F.col("b")) | _alike(F.col("ha"), F.col("hb")))
     one = met.select("a", "b", F.col("df_b").alias("df"))
     return one if other is not None else one.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("df_a").alias("df")))
 
@@ -124,9 +168,9 @@ def word_index(words: DataFrame, trusted_only: bool = False) -> DataFrame:
     what the index knows does not hang on the size of the vocabulary; if trusted_only, untrusted words stand for the
     trusted words near them, and trusted ones for themselves. Symmetric delete: two words are near if deleting letters
     from each, as spelled or as they sound, can give the same; such pairs meet by an equi-join on what is left, and
-    Levenshtein's distance decides at once, before anything is shuffled again."""
+    Levenshtein's distance decides. Words of more than LONGEST letters meet by their parts instead."""
     words = materialize(words, "vocabulary")
-    long = words.where((F.length("word") >= 4) & (F.length("word") <= LONGEST) & ~F.col("word").rlike("[0-9]"))
+    long = words.where((F.length("word") >= 4) & ~F.col("word").rlike("[0-9]"))
     near = _near(long.where(~F.col("trusted")), long.where("trusted")) if trusted_only else _near(long)
     more = near.groupBy(F.col("a").alias("word")).agg(F.array_sort(F.collect_list(F.struct(F.col("b").alias("word"), "df"))).alias("more"))
     own = F.array(F.struct("word", "df"))
@@ -149,6 +193,20 @@ def edit(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+@lru_cache(1 << 16)
+def _heard(word: str) -> str:
+    return sounded(word)
+
+
+@lru_cache(1 << 16)
+def _letters(word: str) -> int:
+    """Which letters a word has, as bits."""
+    m = 0
+    for c in word:
+        m |= 1 << (ord(c) & 63)
+    return m
+
+
 def likeness(a: str, b: str, both_trusted: bool = False) -> float:
     """How well one word can be another: the same 1; an initial or an abbreviation 0.8; a slip or two 0.7 to 0.95."""
     if a == b:
@@ -158,20 +216,24 @@ def likeness(a: str, b: str, both_trusted: bool = False) -> float:
         return 0.8 if t[0] == s else 0.0
     if both_trusted:
         return 0.0
-    heard = sounded(s), sounded(t)
+    return _slips(s, t)
+
+
+@lru_cache(1 << 17)
+def _slips(s: str, t: str) -> float:
+    heard = _heard(s), _heard(t)
     if heard[0] == heard[1]:
         return 0.97
     share = 0.0
     for x, y in ((s, t), heard):
-        n = min(len(x), len(y))
-        most = 0 if n < 4 or max(len(x), len(y)) > LONGEST else 1 if n < 7 else 2
-        if most and (d := edit(x, y, most)) <= most:
-            share = max(share, 1 - 0.8 * d / max(len(x), len(y)))
+        n, m = len(x), len(y)
+        most = 0 if min(n, m) < 4 else 1 if min(n, m) < 7 else 2
+        # each slip brings or takes at most two letters
+        if most and abs(n - m) <= most and (_letters(x) ^ _letters(y)).bit_count() <= 2 * most and (d := edit(x, y, most)) <= most:
+            share = max(share, 1 - 0.8 * d / max(n, m))
     if share:
         return share
-    if len(s) >= 3 and t.startswith(s):
-        return 0.8
-    return 0.0
+    return 0.8 if len(s) >= 3 and t.startswith(s) else 0.0
 
 
 def assign(like: list[list[float]], gain: list[list[float]]) -> tuple[float, list[tuple[int, int]]]:
@@ -183,6 +245,14 @@ def assign(like: list[list[float]], gain: list[list[float]]) -> tuple[float, lis
     if n > m:
         total, pairs = assign([list(r) for r in zip(*like)], [list(r) for r in zip(*gain)])
         return total, [(j, i) for i, j in pairs]
+    if n == 1:
+        j = max(range(m), key=lambda k: gain[0][k])
+        return (gain[0][j], [(0, j)]) if like[0][j] > 0 else (0.0, [])
+    if n == m == 2:
+        straight, crossed = gain[0][0] + gain[1][1], gain[0][1] + gain[1][0]
+        pairs = [(0, 0), (1, 1)] if straight >= crossed else [(0, 1), (1, 0)]
+        pairs = [(i, j) for i, j in pairs if like[i][j] > 0]
+        return sum(gain[i][j] for i, j in pairs), pairs
     inf = float("inf")
     u, v, match = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1)
     for i in range(1, n + 1):
