@@ -83,38 +83,32 @@ def candidates(a: DataFrame, b: DataFrame | None = None, most: int = 2000) -> Da
     the spelled one. Blocks of more than most names are cut into slices on both sides, each pair of slices a group of
     its own, so that none has to fit one task; nothing is dropped."""
     alone = b is None
-    both = a.select("block", "side", "f", F.lit(0).alias("x")) if alone else a.select("block", "side", "f", F.lit(0).alias("x")).unionByName(b.select("block", "side", "f", F.lit(1).alias("x")))
-    left_on, right_on = (F.col("x") == 0), (F.lit(True) if alone else F.col("x") == 1)
-    n = both.groupBy("block").agg(F.count_if(left_on & (F.col("side") != SPELLED)).alias("a0"), F.count_if(right_on & (F.col("side") != SHORT)).alias("b0"), F.count_if(left_on & (F.col("side") == SPELLED)).alias("a2"), F.count_if(right_on & (F.col("side") == SHORT)).alias("b1"), F.count(F.lit(1)).alias("n"))
-    # blocks in which nothing can meet go first: most of them
-    useful = n.where((F.col("a0") > 0) & (F.col("b0") > 0) & (F.col("n") > 1) if alone else ((F.col("a0") > 0) & (F.col("b0") > 0)) | ((F.col("a2") > 0) & (F.col("b1") > 0)))
-    slices = lambda c: F.ceil(F.greatest(*c, F.lit(1)) / most).cast("int")
-    kept = both.join(useful.select("block", slices([F.col("a0"), F.col("a2")]).alias("sa"), slices([F.col("b0"), F.col("b1")]).alias("sb")), "block")
-
-    def sliced(on, name: str, side: str, mine: str, other: str, cell) -> DataFrame:
-        own = F.pmod(F.xxhash64("f"), F.col(mine)).cast("int")
-        cells = F.when((F.col(mine) == 1) & (F.col(other) == 1), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col(other) - 1), lambda k: cell(own, k)))
-        return kept.where(on).select("block", F.col("f").alias(name), F.col("side").alias(side), F.explode(cells).alias("cell"))
-
-    left = sliced(left_on, "fa", "da", "sa", "sb", lambda own, k: own * F.col("sb") + k)
-    right = sliced(right_on, "fb", "db", "sb", "sa", lambda own, k: k * F.col("sb") + own)
+    left = a.where(F.col("side") != SPELLED) if alone else a
+    right = a.where(F.col("side") != SHORT) if alone else b
+    left, right = left.select("block", F.col("side").alias("da"), F.col("f").alias("fa")), right.select("block", F.col("side").alias("db"), F.col("f").alias("fb"))
     meets = ((F.col("da") == SAME) & (F.col("db") == SAME)) | ((F.col("da") == SHORT) & (F.col("db") == SPELLED))
     if alone:
-        met = left.join(right, ["block", "cell"]).where(meets & (F.col("fa") != F.col("fb")) & ((F.col("da") == SHORT) | (F.col("fa") < F.col("fb"))))
-        met = met.select(F.least("fa", "fb").alias("fa"), F.greatest("fa", "fb").alias("fb"))
+        meets = meets & (F.col("fa") != F.col("fb")) & ((F.col("da") == SHORT) | (F.col("fa") < F.col("fb")))
     else:
-        met = left.join(right, ["block", "cell"]).where(meets | ((F.col("da") == SPELLED) & (F.col("db") == SHORT))).select("fa", "fb")
-    return met.distinct()
+        meets = meets | ((F.col("da") == SPELLED) & (F.col("db") == SHORT))
+    met = rows_that_meet(left, right, ["block"], most).where(meets)
+    return met.select(F.least("fa", "fb").alias("fa"), F.greatest("fa", "fb").alias("fb")).distinct() if alone else met.select("fa", "fb").distinct()
 
 
 def rows_that_meet(left: DataFrame, right: DataFrame, on: list[str], most: int = 5000) -> DataFrame:
     """The inner join of two frames on equal columns, where one key may hold a large share of the rows: keys with more
-    than most rows on either side are cut into a grid of slices. Other column names must differ."""
-    count = lambda t, c: t.groupBy(*on).agg(F.count(F.lit(1)).alias(c))
-    n = count(left, "_nl").join(count(right, "_nr"), on)
-    hot = bounded(n.where(F.greatest("_nl", "_nr") > most).select(*on, F.ceil(F.col("_nl") / most).cast("int").alias("_sl"), F.ceil(F.col("_nr") / most).cast("int").alias("_sr")))
-    one = lambda c: F.coalesce(F.col(c), F.lit(1))
-    spread = lambda t, own, other, cell: t.join(hot, on, "left").withColumn("_mine", F.pmod(F.xxhash64(*t.columns), one(own)).cast("int")).withColumn("_cell", F.explode(F.transform(F.sequence(F.lit(0), one(other) - 1), cell))).drop("_sl", "_sr", "_mine")
-    a = spread(left, "_sl", "_sr", lambda k: F.col("_mine") * one("_sr") + k)
-    b = spread(right, "_sr", "_sl", lambda k: k * one("_sr") + F.col("_mine"))
-    return a.join(b, [*on, "_cell"]).drop("_cell")
+    than most rows on both sides, or on either of very many, are cut into a grid of slices and joined apart. Other
+    column names must differ. Null keys meet nothing."""
+    both = left.select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(right.select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+    n = both.groupBy(*on).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr")).where((F.col("_nl") > 0) & (F.col("_nr") > 0) & (F.greatest("_nl", "_nr") > most))
+    hot = bounded(n.select(*on, F.ceil(F.col("_nl") / most).cast("int").alias("_sl"), F.ceil(F.col("_nr") / most).cast("int").alias("_sr")))
+    cold = left.join(hot.select(*on), on, "left_anti").join(right, on)
+
+    def spread(t: DataFrame, own: str, other: str, cell) -> DataFrame:
+        mine = F.pmod(F.xxhash64(*t.columns), F.col(own)).cast("int")
+        t = t.join(hot, on).withColumn("_mine", mine).withColumn("_cell", F.explode(F.transform(F.sequence(F.lit(0), F.col(other) - 1), cell)))
+        return t.drop("_sl", "_sr", "_mine")
+
+    x = spread(left, "_sl", "_sr", lambda k: F.col("_mine") * F.col("_sr") + k)
+    y = spread(right, "_sr", "_sl", lambda k: k * F.col("_sr") + F.col("_mine"))
+    return cold.unionByName(x.join(y, [*on, "_cell"]).drop("_cell"))
