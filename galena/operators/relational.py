@@ -34,6 +34,44 @@ def best_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_r") <= n).drop("_r")
 
 
+def _running(counts: DataFrame, group: str, value: str, buckets: int) -> DataFrame:
+    """counts (group, value, n) with the number of values before each in its group, as before, without sorting a group
+    in one task: values go to ranges of all groups' values, ranges are summed, and each row adds its range's offset to
+    the running sum within its range. value is a number and not null."""
+    edges = [r.e for r in counts.agg(F.percentile_approx(F.col(value).cast("double"), [i / buckets for i in range(1, buckets)], 20_000).alias("e")).collect()]
+    at = F.lit(0)
+    for e in sorted(set(edges[0] or [])):
+        at = at + (F.col(value) >= e).cast("int")
+    c = counts.withColumn("_b", at)
+    sums = c.groupBy(group, "_b").agg(F.sum("n").alias("_s"))
+    offsets = sums.withColumn("_o", F.coalesce(F.sum("_s").over(Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(F.col(group).alias("_g"), F.col("_b").alias("_c"), "_o")
+    within = F.coalesce(F.sum("n").over(Window.partitionBy(group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return c.withColumn("_w", within).join(offsets, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_c"))).select(group, value, "n", (F.col("_w") + F.col("_o")).alias("before"))
+
+
+def percent_ranks(df: DataFrame, group: str, value: str, name: str, buckets: int = 64) -> DataFrame:
+    """df with percent_rank of the value in its group, equal to the window function's: the rows of a group are counted by
+    value and by range of values, so that no group has to fit one task. A null group is a group; value is a non-null
+    number. A group of one row has rank 0."""
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    total = df.groupBy(group).agg(F.count(F.lit(1)).alias("_t")).withColumnRenamed(group, "_h")
+    ranks = _running(counts, group, value, buckets).select(F.col(group).alias("_g"), F.col(value).alias("_v"), "before")
+    j = df.join(ranks, df[group].eqNullSafe(F.col("_g")) & (df[value] == F.col("_v"))).join(total, df[group].eqNullSafe(F.col("_h")))
+    return j.withColumn(name, F.when(F.col("_t") > 1, F.col("before") / (F.col("_t") - 1)).otherwise(0.0)).drop("_g", "_v", "_h", "_t", "before")
+
+
+def exact_medians(df: DataFrame, group: str, value: str, buckets: int = 64) -> DataFrame:
+    """(group, median, n): the exact median and number of the non-null values of each group, null and 0 where there are
+    none, by counts of values and ranges, so that no group has to fit one task."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    sizes = df.groupBy(group).agg(F.count(value).alias("_t")).withColumnRenamed(group, "_h")
+    r = _running(counts, group, value, buckets).join(sizes, F.col(group).eqNullSafe(F.col("_h")))
+    low, high = F.floor((F.col("_t") - 1) / 2), F.floor(F.col("_t") / 2)
+    holds = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
+    m = r.groupBy(group).agg(F.max(F.when(holds(low), F.col(value))).alias("_a"), F.max(F.when(holds(high), F.col(value))).alias("_b")).select(F.col(group).alias("_g"), ((F.col("_a") + F.col("_b")) / 2.0).alias("median"))
+    return sizes.join(m, F.col("_h").eqNullSafe(F.col("_g")), "left").select(F.col("_h").alias(group), "median", F.col("_t").alias("n"))
+
+
 def upsert(table: DataFrame, changes: DataFrame, key: str, replace: list[str], keep: list[str]) -> DataFrame:
     """Rows of either side by key: columns in replace come from changes where it has the key, those in keep stay
     unless null. Keys are unique on either side."""
@@ -43,6 +81,21 @@ def upsert(table: DataFrame, changes: DataFrame, key: str, replace: list[str], k
     return both.select(key, *[F.when(hit, F.col(f"c.{x}")).otherwise(F.col(f"t.{x}")).alias(x) for x in replace], *[F.coalesce(f"t.{x}", f"c.{x}").alias(x) for x in keep])
 
 
+def transition(queue: DataFrame, results: DataFrame, key: str, state: str, new_state: str, attempts: str) -> DataFrame:
+    """The queue with results applied: rows that have one take its state and count an attempt. One result a key; keys
+    that the queue lacks are ignored."""
+    t = queue.join(results.select(key, new_state), key, "left")
+    return t.withColumns({state: F.coalesce(new_state, state), attempts: F.col(attempts) + F.col(new_state).isNotNull().cast("int")})
+
+
+def due(day: Column, number: Column, bands: tuple[tuple[float, int], ...], else_days: int) -> Column:
+    """The day after as many days as the first band (least number, days) says that the number reaches."""
+    days = F.lit(else_days)
+    for least, n in reversed(bands):
+        days = F.when(number >= least, n).otherwise(days)
+    return F.date_add(day, days)
+
+
 def merge_by_key(parts: list[DataFrame], key: str) -> DataFrame:
     """Full outer join of tables with one row a key, by one union and one aggregation instead of a chain of joins.
     Columns of several parts: the first non-null in the order of the parts."""
@@ -53,19 +106,6 @@ def merge_by_key(parts: list[DataFrame], key: str) -> DataFrame:
     return u.groupBy(key).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_i"))).alias(c) for c in columns])
 
 
-def grid_join(left: DataFrame, right: DataFrame, radius_m: float, side: float = 0.003) -> DataFrame:
-    """Pairs within radius_m by an equi-join of grid cells: the left row looks into the 3 x 3 cells around its own.
-    Both have latitude and longitude; other column names must differ. The cells must be as wide as the radius: at
-    side 0.003 degrees 200 m hold up to about 53 degrees of latitude. Null coordinates give no pair."""
-    a = left.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).withColumnsRenamed({"latitude": "_la", "longitude": "_lo"})
-    b = right.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).withColumnsRenamed({"latitude": "_lb", "longitude": "_ob"})
-    around = F.array(*[F.struct((numeric.cell(F.col("_la"), side) + i).alias("x"), (numeric.cell(F.col("_lo"), side) + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    a = a.withColumn("_c", F.explode(around))
-    b = b.withColumn("_c", F.struct(numeric.cell(F.col("_lb"), side).alias("x"), numeric.cell(F.col("_ob"), side).alias("y")))
-    m = numeric.haversine(F.col("_la"), F.col("_lo"), F.col("_lb"), F.col("_ob"))
-    return a.join(b, "_c").withColumn("distance_m", m).where(F.col("distance_m") <= radius_m).drop("_c", "_la", "_lo", "_lb", "_ob")
-
-
 def or_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: list[str]) -> DataFrame:
     """Rows whose left_key equals any of right_keys, as one equi-join on the right side's keys laid one under the
     other; empty and null keys match nothing. A pair that matches by several keys comes once."""

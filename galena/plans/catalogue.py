@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from galena.functions import numeric, text
 from galena.operators import relational as rel
+from galena.operators.nearby import near_pairs
 from galena.session import new_path
 from galena.sources.tables import table
 from galena.streaming import append as streaming
@@ -36,12 +37,25 @@ RUN = "select distinct * from leads_scored where (data_version, run_date) = (sel
 OFFERS = "select * from offre_emploi qualify row_number() over (partition by offre_id order by ingest_date desc, kafka_partition, kafka_offset) = 1"
 
 
-def register(spark: SparkSession, d: str) -> DataFrame:
-    return rel.latest(table(spark, d, "cabinet"), "data_version").distinct()
+def _rows_once(t: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Repeated rows count once. Whole rows are told apart by a 128-bit print of all columns, so that only that and the
+    asked columns are shuffled; without columns, all of them."""
+    if not columns:
+        return t.distinct()
+    asked = dict.fromkeys(columns)
+    parts = [x for c, k in t.dtypes for x in ((F.to_json(F.struct(c)) if k.startswith(("array", "struct")) else F.col(c)), F.col(c).isNull())]
+    prints = [F.xxhash64(*parts).alias("_f1"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("_f2")]
+    return t.select(*asked, *prints).distinct().drop("_f1", "_f2")
 
 
-def run(spark: SparkSession, d: str) -> DataFrame:
-    return rel.latest(table(spark, d, "leads_scored"), "data_version", "run_date").dropDuplicates()
+def register(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The establishments of the latest version, siret and the columns, each row once."""
+    return _rows_once(rel.latest(table(spark, d, "cabinet"), "data_version"), ("siret", *columns) if columns else ())
+
+
+def run(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The scored firms of the latest run, each row once."""
+    return _rows_once(rel.latest(table(spark, d, "leads_scored"), "data_version", "run_date"), ("siren", *columns) if columns else ())
 
 
 def offers(spark: SparkSession, d: str) -> DataFrame:
@@ -53,17 +67,17 @@ def offers(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"select segment, count(*) as n from ({LATEST}) group by segment")
 def latest_version_scan(spark, d):
-    return register(spark, d).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+    return register(spark, d, "segment").groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select siret, nullif(enseigne, '[ND]') as enseigne, nullif(complement_adresse, '[ND]') as complement_adresse, nullif(adresse, '[ND]') as adresse from ({LATEST})")
 def nd_nulling(spark, d):
-    return rel.nulled(register(spark, d)).select("siret", "enseigne", "complement_adresse", "adresse")
+    return rel.nulled(register(spark, d, "enseigne", "complement_adresse", "adresse")).select("siret", "enseigne", "complement_adresse", "adresse")
 
 
 @query(f"select siret, code_ape from ({LATEST}) where code_ape in ('69.20Z', '69.10Z') and est_siege and tranche_effectif is not null")
 def code_filter(spark, d):
-    return register(spark, d).where(F.col("code_ape").isin("69.20Z", "69.10Z") & F.col("est_siege") & F.col("tranche_effectif").isNotNull()).select("siret", "code_ape")
+    return register(spark, d, "code_ape", "est_siege", "tranche_effectif").where(F.col("code_ape").isin("69.20Z", "69.10Z") & F.col("est_siege") & F.col("tranche_effectif").isNotNull()).select("siret", "code_ape")
 
 
 @query("select champ, round(part, 9) as part from (select avg((ca is null)::int) as ca, avg((segment is null)::int) as segment, avg((derniere_offre_date is null)::int) as derniere_offre_date from leads_scored) unpivot (part for champ in (ca, segment, derniere_offre_date))")
@@ -82,7 +96,7 @@ def optional_columns(spark, d):
 
 @query(f"with f as (select siren, min(raison_sociale) as nom, min(segment) as segment from ({LATEST}) group by siren) select c.siret, f.nom, r.categorie_entreprise from ({LATEST}) c join f using (siren) left join (select siren, max(categorie_entreprise) as categorie_entreprise from recherche_entreprises group by siren) r using (siren)")
 def firm_establishment_join(spark, d):
-    c = register(spark, d)
+    c = register(spark, d, "siren", "raison_sociale")
     f = c.groupBy("siren").agg(F.min("raison_sociale").alias("nom"))
     r = table(spark, d, "recherche_entreprises").groupBy("siren").agg(F.max("categorie_entreprise").alias("categorie_entreprise"))
     return c.select("siren", "siret").join(f, "siren").join(r, "siren", "left").select("siret", "nom", "categorie_entreprise")
@@ -114,8 +128,8 @@ _KM = "2 * 6371000e0 * asin(sqrt(pow(sin(radians(c.latitude - o.latitude) / 2),
 def grid_join(spark, d):
     here = lambda t: t.where(~((F.col("latitude") == 0) & (F.col("longitude") == 0)))
     o = here(offers(spark, d).select("offre_id", "latitude", "longitude"))
-    c = here(register(spark, d).select("siret", "latitude", "longitude"))
-    return rel.grid_join(o, c, 200.0).select("offre_id", "siret", F.round("distance_m", 3).alias("metres"))
+    c = here(register(spark, d, "latitude", "longitude").select("siret", "latitude", "longitude"))
+    return near_pairs(o, c, 200.0, "offre_id", "siret", distance="metres").withColumn("metres", F.round("metres", 3))
 
 
 def _key_sql(c: str) -> str:
@@ -144,10 +158,14 @@ b as (select * from m qualify row_number() over (partition by offre_id order by
 select o.offre_id, b.siren, case niveau when 3 then 'nom_commune' when 2 then 'nom_dept' when 1 then 'nom_seul' else 'aucun' end as niveau from o left join b using (offre_id)""")
 def resolve_best(spark, d):
     o = offers(spark, d).select("offre_id", "code_commune", "departement", text.company_key(F.col("entreprise_nom")).alias("k"))
-    f = register(spark, d).select("siren", F.col("code_commune").alias("fc"), F.col("departement").alias("fd"), text.company_key(F.col("raison_sociale")).alias("a")).distinct()
-    m = o.where(F.col("k") != "").join(f, F.col("k") == F.col("a")).groupBy("offre_id", "siren").agg(F.max((F.col("code_commune") == F.col("fc")).cast("int")).alias("c"), F.max((F.col("departement") == F.col("fd")).cast("int")).alias("dep"))
-    m = m.select("offre_id", "siren", F.when(F.col("c") == 1, 3).when(F.col("dep") == 1, 2).otherwise(1).alias("n"))
-    b = rel.best_per_key(m, ["offre_id"], [F.col("n").desc(), F.col("siren")])
+    f = register(spark, d, "siren", "code_commune", "departement", "raison_sociale").select("siren", F.col("code_commune").alias("fc"), F.col("departement").alias("fd"), text.company_key(F.col("raison_sociale")).alias("a")).distinct()
+    # the best firm of each (name, commune), (name, department) and name is chosen before the join: a name with very
+    # many offers or sites then costs one lookup an offer
+    best = lambda *keys: f.where(F.col("a") != "").groupBy(*keys).agg(F.min("siren").alias("siren"))
+    on = F.col("k") == F.col("a")
+    asked = o.where(F.col("k") != "")
+    tiers = [asked.join(best("a", "fc"), on & (F.col("code_commune") == F.col("fc"))).select("offre_id", "siren", F.lit(3).alias("n")), asked.join(best("a", "fd"), on & (F.col("departement") == F.col("fd"))).select("offre_id", "siren", F.lit(2).alias("n")), asked.join(best("a"), on).select("offre_id", "siren", F.lit(1).alias("n"))]
+    b = tiers[0].unionByName(tiers[1]).unionByName(tiers[2]).groupBy("offre_id").agg(F.max(F.struct("n", "siren")).alias("s")).select("offre_id", "s.siren", "s.n")
     label = F.when(F.col("n") == 3, "nom_commune").when(F.col("n") == 2, "nom_dept").when(F.col("n") == 1, "nom_seul").otherwise("aucun")
     return o.select("offre_id").join(b, "offre_id", "left").select("offre_id", "siren", label.alias("niveau"))
 
@@ -166,17 +184,17 @@ def token_jaccard(spark, d):
 
 @query(f"select siren, count(*) as n from ({LATEST}) group by siren")
 def establishment_counts(spark, d):
-    return register(spark, d).groupBy("siren").agg(F.count(F.lit(1)).alias("n"))
+    return register(spark, d, "siren").groupBy("siren").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select departement, segment, count(*) as n from ({LATEST}) group by all")
 def zone_counts(spark, d):
-    return register(spark, d).groupBy("departement", "segment").agg(F.count(F.lit(1)).alias("n"))
+    return register(spark, d, "departement", "segment").groupBy("departement", "segment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select code_commune, segment, count(*) as n, round(avg(latitude), 6) as lat, round(avg(longitude), 6) as lon from ({LATEST}) group by all")
 def zone_centroids(spark, d):
-    return register(spark, d).groupBy("code_commune", "segment").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("latitude"), 6).alias("lat"), F.round(F.avg("longitude"), 6).alias("lon"))
+    return register(spark, d, "code_commune", "segment", "latitude", "longitude").groupBy("code_commune", "segment").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("latitude"), 6).alias("lat"), F.round(F.avg("longitude"), 6).alias("lon"))
 
 
 @query(f"select departement, count(*) as n90, count(*) filter (where date_creation::date > date '{AS_OF}' - 30) as n30, count(*) filter (where type_contrat = 'CDI') as cdi, cast(sum(coalesce(nombre_postes, 1)) as bigint) as postes, cast(max(date_creation::date) as varchar) as derniere from ({OFFERS}) where date_creation::date between date '{AS_OF}' - 90 and date '{AS_OF}' group by departement")
@@ -205,7 +223,7 @@ def collect_types(spark, d):
 
 @query(f"select bande_score, count(*) as n, round(avg(score), 1) as moyenne from ({RUN}) group by bande_score")
 def band_summary(spark, d):
-    return run(spark, d).groupBy("bande_score").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 1).alias("moyenne"))
+    return run(spark, d, "bande_score", "score").groupBy("bande_score").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 1).alias("moyenne"))
 
 
 @query("select code_rome, count(*) as n from offre_emploi group by code_rome order by n desc, code_rome limit 10")
@@ -215,12 +233,12 @@ def value_counts(spark, d):
 
 @query("select segment, median(ca) as mediane, count(ca) as n from leads_scored group by segment")
 def median_report(spark, d):
-    return table(spark, d, "leads_scored").groupBy("segment").agg(F.median("ca").alias("mediane"), F.count("ca").alias("n"))
+    return rel.exact_medians(table(spark, d, "leads_scored"), "segment", "ca").select("segment", F.col("median").alias("mediane"), "n")
 
 
 @query(f"select cast(sum(flag_ca_hausse::int) as bigint) as hausse, cast(sum((nb_offres_30j > 0)::int) as bigint) as recrute, cast(sum((ca < 0)::int) as bigint) as negatif from ({RUN})")
 def flag_report(spark, d):
-    return run(spark, d).agg(*[F.sum(c.cast("int")).alias(n) for c, n in ((F.col("flag_ca_hausse"), "hausse"), (F.col("nb_offres_30j") > 0, "recrute"), (F.col("ca") < 0, "negatif"))])
+    return run(spark, d, "flag_ca_hausse", "nb_offres_30j", "ca").agg(*[F.sum(c.cast("int")).alias(n) for c, n in ((F.col("flag_ca_hausse"), "hausse"), (F.col("nb_offres_30j") > 0, "recrute"), (F.col("ca") < 0, "negatif"))])
 
 
 @query("select code_rome, cast(max(date_creation) as varchar) as repere from offre_emploi group by code_rome")
@@ -250,7 +268,7 @@ def latest_per_key(spark, d):
 
 @query(f"select siren, siret, cast(date_creation as varchar) as date_creation from ({LATEST}) qualify row_number() over (partition by siren order by date_creation desc nulls last, siret) = 1")
 def best_with_nulls_last(spark, d):
-    return rel.best_per_key(register(spark, d), ["siren"], [F.col("date_creation").desc_nulls_last(), F.col("siret")]).select("siren", "siret", F.col("date_creation").cast("string").alias("date_creation"))
+    return rel.best_per_key(register(spark, d, "siren", "date_creation"), ["siren"], [F.col("date_creation").desc_nulls_last(), F.col("siret")]).select("siren", "siret", F.col("date_creation").cast("string").alias("date_creation"))
 
 
 @query("with u as (select distinct siren, run_date, ca from leads_scored where ca > 0), r as (select *, row_number() over (partition by siren order by run_date desc, ca desc) as r from u) select siren, max(ca) filter (where r = 1) as dernier, max(ca) filter (where r = 2) as avant from r where r <= 2 group by siren")
@@ -262,8 +280,8 @@ def best_and_previous(spark, d):
 
 @query(f"select siren, segment, round(percent_rank() over (partition by segment order by greatest(coalesce(ca, 0), 0)), 6) as rang from ({RUN})")
 def percent_rank(spark, d):
-    w = Window.partitionBy("segment").orderBy(F.greatest(F.coalesce("ca", F.lit(0)), F.lit(0)))
-    return run(spark, d).select("siren", "segment", F.round(F.percent_rank().over(w), 6).alias("rang"))
+    t = run(spark, d, "segment", "ca").withColumn("v", F.greatest(F.coalesce("ca", F.lit(0)), F.lit(0)))
+    return rel.percent_ranks(t, "segment", "v", "rang").select("siren", "segment", F.round("rang", 6).alias("rang"))
 
 
 # Scores made of parts (the parts and weights are parameters)
@@ -277,9 +295,9 @@ case segment when 'expert_comptable' then 30e0 when 'avocat_notaire' then 20e0 e
 
 
 def _scored(spark, d):
-    w = Window.partitionBy("segment").orderBy(F.greatest(F.coalesce("ca", F.lit(0)), F.lit(0)))
-    parts = {"taille": F.percent_rank().over(w), "fraicheur": numeric.half_life(F.col("derniere_offre_date"), F.lit(AS_OF).cast("date"), 40), "reseau": F.least(F.col("nb_etablissements") / F.lit(10.0), F.lit(1.0))}
-    t = run(spark, d).select("siren", "segment", *[v.alias(k) for k, v in parts.items()])
+    parts = {"taille": F.col("rang"), "fraicheur": numeric.half_life(F.col("derniere_offre_date"), F.lit(AS_OF).cast("date"), 40), "reseau": F.least(F.col("nb_etablissements") / F.lit(10.0), F.lit(1.0))}
+    t = run(spark, d, "segment", "ca", "derniere_offre_date", "nb_etablissements").withColumn("v", F.greatest(F.coalesce("ca", F.lit(0)), F.lit(0)))
+    t = rel.percent_ranks(t, "segment", "v", "rang").select("siren", "segment", *[v.alias(k) for k, v in parts.items()])
     by_segment = F.create_map(*[x for s, v in WEIGHTS.items() for x in (F.lit(s), F.create_map(*[y for k, z in zip(parts, v) for y in (F.lit(k), F.lit(z))]))])
     score, detail = rel.weighted_score({k: F.col(k) for k in parts}, F.coalesce(F.try_element_at(by_segment, F.coalesce("segment", F.lit(""))), F.create_map().cast("map<string,double>")))
     return t.select("siren", "segment", score.alias("note"), detail.alias("detail"))
@@ -298,12 +316,12 @@ def score_detail_long(spark, d):
 @query(f"select siren, array_to_string(list_filter([case when nb_offres_30j > 0 then 'recrute' end, case when flag_ca_hausse then 'hausse' end, case when nb_etablissements >= 5 then 'reseau' end, case when ca < 0 then 'negatif' end], lambda x: x is not null), ',') as marques from ({RUN})")
 def flags_list(spark, d):
     c = rel.chosen((F.col("nb_offres_30j") > 0, "recrute"), (F.col("flag_ca_hausse"), "hausse"), (F.col("nb_etablissements") >= 5, "reseau"), (F.col("ca") < 0, "negatif"))
-    return run(spark, d).select("siren", F.array_join(c, ",").alias("marques"))
+    return run(spark, d, "nb_offres_30j", "flag_ca_hausse", "nb_etablissements", "ca").select("siren", F.array_join(c, ",").alias("marques"))
 
 
 @query(f"select siren, score, recence_jours, nb_offres_30j from ({RUN}) where recence_jours <= 2 order by score desc, recence_jours, nb_offres_30j desc, siren")
 def daily_signals(spark, d):
-    return run(spark, d).where(F.col("recence_jours") <= 2).select("siren", "score", "recence_jours", "nb_offres_30j").orderBy(F.col("score").desc(), "recence_jours", F.col("nb_offres_30j").desc(), "siren")
+    return run(spark, d, "score", "recence_jours", "nb_offres_30j").where(F.col("recence_jours") <= 2).select("siren", "score", "recence_jours", "nb_offres_30j").orderBy(F.col("score").desc(), "recence_jours", F.col("nb_offres_30j").desc(), "siren")
 
 
 @query("select distinct siren, ca, ca_n1, round((ca - ca_n1) / abs(ca_n1)::double, 4) as croissance, case when ca_n1 <> 0 and ca is not null then round((ca - ca_n1) / abs(ca_n1)::double, 4) > 0.10 else false end as hausse from (select siren, max(ca) as ca, max(nullif(ca_n1, 0)) as ca_n1 from enrichissement group by siren)")
@@ -330,7 +348,7 @@ def queue_upsert(spark, d):
 @query(f"select siren, score, cast(derniere_offre_date + 30 as varchar) as due from ({RUN}) where derniere_offre_date + 30 <= date '{AS_OF}' order by score desc, siren limit 100")
 def queue_due(spark, d):
     due = F.date_add("derniere_offre_date", 30)
-    return run(spark, d).where(due <= F.lit(AS_OF).cast("date")).select("siren", "score", due.cast("string").alias("due")).orderBy(F.col("score").desc(), "siren").limit(100)
+    return run(spark, d, "score", "derniere_offre_date").where(due <= F.lit(AS_OF).cast("date")).select("siren", "score", due.cast("string").alias("due")).orderBy(F.col("score").desc(), "siren").limit(100)
 
 
 # Serving
@@ -338,23 +356,23 @@ def queue_due(spark, d):
 
 @query(f"select siren, raison_sociale, score from ({RUN}) order by score desc, siren limit 50 offset 100")
 def list_leads_page(spark, d):
-    return rel.page(run(spark, d).select("siren", "raison_sociale", "score"), [F.col("score").desc(), F.col("siren")], 50, 100)
+    return rel.page(run(spark, d, "raison_sociale", "score").select("siren", "raison_sociale", "score"), [F.col("score").desc(), F.col("siren")], 50, 100)
 
 
 @query(f"select count(*) as n from ({RUN}) where segment in ('avocat_notaire', 'cgp') and score >= 40 and contains(lower(raison_sociale), 'conseil')")
 def map_filter_count(spark, d):
     f = rel.LeadFilter(segments=["avocat_notaire", "cgp"], score_min=40, text="Conseil")
-    return run(spark, d).where(f.column()).agg(F.count(F.lit(1)).alias("n"))
+    return run(spark, d, "segment", "score", "raison_sociale").where(f.column()).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select siren, array_to_string(flags, ',') as flags from ({RUN}) where list_has_any(flags, ['CA en hausse'])")
 def flag_filter(spark, d):
-    return run(spark, d).where(rel.LeadFilter(flags=["CA en hausse"]).column()).select("siren", F.array_join("flags", ",").alias("flags"))
+    return run(spark, d, "flags").where(rel.LeadFilter(flags=["CA en hausse"]).column()).select("siren", F.array_join("flags", ",").alias("flags"))
 
 
 @query(f"select axe, valeur, n from (select 'bande' as axe, bande_score as valeur, count(*) as n from ({RUN}) group by all union all select 'segment', segment, count(*) from ({RUN}) group by all union all select * from (select 'departement', departement, count(*) as n from ({RUN}) group by all order by n desc, departement limit 12))")
 def map_breakdown(spark, d):
-    g = run(spark, d).groupingSets([["bande_score"], ["segment"], ["departement"]], "bande_score", "segment", "departement").agg(F.count(F.lit(1)).alias("n"), F.grouping("bande_score").alias("gb"), F.grouping("segment").alias("gs"))
+    g = run(spark, d, "bande_score", "segment", "departement").groupingSets([["bande_score"], ["segment"], ["departement"]], "bande_score", "segment", "departement").agg(F.count(F.lit(1)).alias("n"), F.grouping("bande_score").alias("gb"), F.grouping("segment").alias("gs"))
     g = g.select(F.when(F.col("gb") == 0, "bande").when(F.col("gs") == 0, "segment").otherwise("departement").alias("axe"), F.when(F.col("gb") == 0, F.col("bande_score")).when(F.col("gs") == 0, F.col("segment")).otherwise(F.col("departement")).alias("valeur"), "n")
     top = F.row_number().over(Window.partitionBy("axe").orderBy(F.col("n").desc(), F.col("valeur").asc_nulls_last()))
     return g.withColumn("r", top).where((F.col("axe") != "departement") | (F.col("r") <= 12)).drop("r")
@@ -362,34 +380,25 @@ def map_breakdown(spark, d):
 
 @query(f"select cast(floor(longitude / {360 / 2**11}::double) as int) as cx, cast(floor(latitude / {360 / 2**11}::double) as int) as cy, count(*) as n, round(avg(latitude), 6) as lat, round(avg(longitude), 6) as lon, min(siren) as siren from ({LATEST}) where latitude is not null and longitude is not null group by 1, 2")
 def map_clusters(spark, d):
-    return rel.clusters(register(spark, d), 8)
+    return rel.clusters(register(spark, d, "siren", "latitude", "longitude"), 8)
 
 
 @query(f"select siren, siret, est_siege, commune from ({LATEST}) where siren = (select min(siren) from cabinet)")
 def firm_network(spark, d):
-    c = register(spark, d)
+    c = register(spark, d, "siren", "est_siege", "commune")
     return c.join(F.broadcast(table(spark, d, "cabinet").agg(F.min("siren").alias("siren"))), "siren").select("siren", "siret", "est_siege", "commune")
 
 
 @query(f"select tx, ty, count(*) as n from (select cast(floor((longitude + 180) / 360 * 1024) as int) as tx, cast(floor((1 - asinh(tan(radians(latitude))) / pi()) / 2 * 1024) as int) as ty from ({LATEST}) where latitude is not null and longitude is not null) group by tx, ty")
 def tile_keys(spark, d):
     tx, ty = numeric.tile(F.col("latitude"), F.col("longitude"), 10)
-    return register(spark, d).where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(tx.alias("tx"), ty.alias("ty")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query()
-def geojson_features(spark, d):
-    """One GeoJSON feature per located lead; null properties are left out."""
-    c = register(spark, d).where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    p = F.struct("siren", "raison_sociale", "segment", F.when(F.col("est_ess"), True).alias("ess"))
-    g = F.struct(F.lit("Point").alias("type"), F.array(F.round("longitude", 5), F.round("latitude", 5)).alias("coordinates"))
-    return c.select("siret", F.to_json(F.struct(F.lit("Feature").alias("type"), g.alias("geometry"), p.alias("properties"))).alias("feature"))
+    return register(spark, d, "latitude", "longitude").where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(tx.alias("tx"), ty.alias("ty")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select segment, departement, count(distinct siren) as firmes, count(distinct siren) filter (where siren in (select siren from enrichissement)) as enrichies from ({LATEST}) group by all")
 def kpi_coverage(spark, d):
     e = table(spark, d, "enrichissement").select("siren").distinct().withColumn("e", F.lit(1))
-    c = register(spark, d).select("siren", "segment", "departement").distinct().join(e, "siren", "left")
+    c = register(spark, d, "siren", "segment", "departement").select("siren", "segment", "departement").distinct().join(e, "siren", "left")
     return c.groupBy("segment", "departement").agg(F.count(F.lit(1)).alias("firmes"), F.count("e").alias("enrichies"))
 
 
@@ -418,20 +427,20 @@ def commune_department(spark, d):
 @query(f"select siret, nullif(trim(concat_ws(' ', nullif(adresse, '[ND]'), code_postal, commune)), '') as ligne, year(date '{AS_OF}') - year(date_creation) as age, cast(cast(date_creation + interval 12 month as date) as varchar) as plus_un_an from ({LATEST})")
 def address_and_age(spark, d):
     as_of = F.lit(AS_OF).cast("date")
-    return register(spark, d).select("siret", text.joined(F.nullif(F.col("adresse"), F.lit("[ND]")), F.col("code_postal"), F.col("commune")).alias("ligne"), (F.year(as_of) - F.year("date_creation")).cast("long").alias("age"), F.add_months("date_creation", 12).cast("string").alias("plus_un_an"))
+    return register(spark, d, "adresse", "code_postal", "commune", "date_creation").select("siret", text.joined(F.nullif(F.col("adresse"), F.lit("[ND]")), F.col("code_postal"), F.col("commune")).alias("ligne"), (F.year(as_of) - F.year("date_creation")).cast("long").alias("age"), F.add_months("date_creation", 12).cast("string").alias("plus_un_an"))
 
 
 @query(f"select siret, round(3 + degrees(atan2(x_lambert93 - 700000, {numeric.LAMBERT_YS!r}::double - y_lambert93) / {numeric.LAMBERT_N!r}::double), 7) as lon, round(degrees(chi + {' + '.join(f'{c!r}::double * sin({2 * (k + 1)} * chi)' for k, c in enumerate(numeric.CONFORMAL))}), 7) as lat from (select siret, x_lambert93, y_lambert93, 2 * atan(exp(-ln(sqrt(pow(x_lambert93 - 700000, 2) + pow({numeric.LAMBERT_YS!r}::double - y_lambert93, 2)) / {numeric.LAMBERT_C!r}::double) / {numeric.LAMBERT_N!r}::double)) - pi() / 2 as chi from ({LATEST}) where x_lambert93 <> 0 and y_lambert93 <> 0)")
 def lambert_inverse(spark, d):
     x, y = F.col("x_lambert93"), F.col("y_lambert93")
-    return register(spark, d).where((x != 0) & (y != 0)).select("siret", F.round(numeric.lambert93_longitude(x, y), 7).alias("lon"), F.round(numeric.lambert93_latitude(x, y), 7).alias("lat"))
+    return register(spark, d, "x_lambert93", "y_lambert93").where((x != 0) & (y != 0)).select("siret", F.round(numeric.lambert93_longitude(x, y), 7).alias("lon"), F.round(numeric.lambert93_latitude(x, y), 7).alias("lat"))
 
 
 @query()
 def utm_inverse(spark, d):
     """Overseas projections: the establishments' own plane offsets taken as coordinates of the zone of La Réunion."""
     x, y = 500000 + F.pmod(F.col("x_lambert93"), F.lit(60000.0)) - 30000, 7640000 + F.pmod(F.col("y_lambert93"), F.lit(50000.0))
-    return register(spark, d).where(F.col("x_lambert93").isNotNull()).select("siret", F.round(numeric.utm_latitude(x, y, 2975), 7).alias("lat"), F.round(numeric.utm_longitude(x, y, 2975), 7).alias("lon"))
+    return register(spark, d, "x_lambert93", "y_lambert93").where(F.col("x_lambert93").isNotNull()).select("siret", F.round(numeric.utm_latitude(x, y, 2975), 7).alias("lat"), F.round(numeric.utm_longitude(x, y, 2975), 7).alias("lon"))
 
 
 @query("select distinct url_origine, regexp_replace(lower(regexp_extract(url_origine, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/:?#]+)', 1)), '^www\\.', '') as hote, array_to_string(string_split(regexp_replace(lower(regexp_extract(url_origine, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/:?#]+)', 1)), '^www\\.', ''), '.')[-2:], '.') as domaine from offre_emploi where url_origine is not null")
@@ -440,16 +449,9 @@ def host_registrable(spark, d):
     return table(spark, d, "offre_emploi").where(F.col("url_origine").isNotNull()).select("url_origine").distinct().select("url_origine", h.alias("hote"), text.registrable(h).alias("domaine"))
 
 
-@query()
-def contact_extract(spark, d):
-    """Phone numbers, addresses and nine-digit numbers in the documents that have any."""
-    t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", text.phones(t).alias("telephones"), text.emails(t, ()).alias("emails"), text.nine_digit_ids(t).alias("numeros")).where((F.size("telephones") > 0) | (F.size("emails") > 0) | (F.size("numeros") > 0))
-
-
 @query(f"select siren, case when ca >= 1000000 then regexp_replace(printf('%.1f', round(ca / 1e6, 1)), '\\.0$', '') || 'M' when ca >= 1000 then regexp_replace(printf('%.1f', round(ca / 1e3, 1)), '\\.0$', '') || 'k' else cast(ca as varchar) end as libelle from ({RUN})")
 def count_labels(spark, d):
-    return run(spark, d).select("siren", text.count_label(F.col("ca")).alias("libelle"))
+    return run(spark, d, "ca").select("siren", text.count_label(F.col("ca")).alias("libelle"))
 
 
 # Streaming
@@ -461,6 +463,6 @@ def stream_append(spark, d):
     source = f"{d}/offre_brute.parquet"
     sink, state = new_path(spark, "stream"), new_path(spark, "stream-state")
     stream = streaming.file_source(spark, source if os.path.isdir(source) or "://" in source else f"{d}/offre_brut[e].parquet")
-    done = streaming.append(stream.drop("ingest_date"), sink, state, day=F.date_format("kafka_ts", "yyyy-MM-dd"))
+    done = streaming.DaySink(sink, state, day=F.date_format("kafka_ts", "yyyy-MM-dd")).start(stream.drop("ingest_date"))
     done.awaitTermination()
     return spark.read.parquet(sink).where(F.col("offre_id").isNotNull()).groupBy("offre_id").agg(F.count(F.lit(1)).alias("n"), F.max("kafka_offset").alias("dernier"))

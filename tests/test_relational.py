@@ -81,7 +81,6 @@ def test_upsert_and_merge(spark):
 def test_grid_join_and_filters(spark):
     a = spark.createDataFrame([("a", 48.0, 2.0), ("n", None, 2.0)], "q string, latitude double, longitude double")
     b = spark.createDataFrame([("b", 48.001, 2.0), ("far", 48.1, 2.0)], "p string, latitude double, longitude double")
-    assert [(r.q, r.p) for r in rel.grid_join(a, b, 200).collect()] == [("a", "b")]
     leads = spark.createDataFrame([("1", "cgp", "75", "chaud", ["x"], 80, "Alpha", 48.0, 2.0), ("2", None, None, None, None, None, None, None, None)], "siren string, segment string, departement string, bande_score string, flags array<string>, score int, raison_sociale string, latitude double, longitude double")
     for f in (rel.LeadFilter(segments=["cgp"]), rel.LeadFilter(flags=["x", "y"]), rel.LeadFilter(text="aLPh"), rel.LeadFilter(box=(1.0, 47.0, 3.0, 49.0), score_min=80)):
         assert [r.siren for r in leads.where(f.column()).collect()] == ["1"]
