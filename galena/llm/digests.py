@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from galena.session import bounded
+
 DIGEST = "n long, low double, high double, means array<double>, weights array<long>, solid array<boolean>"
 _COLUMNS = ["n", "low", "high", "means", "weights", "solid"]
 
@@ -127,27 +129,27 @@ def estimates(d: DataFrame, groups: list[str], at: list[float]) -> DataFrame:
     return d.select(*groups, *_COLUMNS).mapInPandas(run, schema)
 
 
-def certified_percentiles(df: DataFrame, groups: list[str], value: str, at: list[float], size: int = 400) -> DataFrame:
+def certified_percentiles(df: DataFrame, groups: list[str], value: str, at: list[float], size: int = 400, most_groups: int = 100_000) -> DataFrame:
     """(groups, n, p, estimate, below, upto, rank_error): the digests' estimates and, by a second pass that counts
     the values under and up to each estimate, how far the rank ceil(p * n) is from the estimate's ranks, as a share
     of n. 0 means that the estimate is the exact percentile. Nulls in groups are a group.
 
-    The counting pass joins the rows with their group's few estimates (as many rows as groups; broadcast only below
-    the session's threshold, by Spark's own choice) and adds up within tasks before anything is shuffled."""
+    The counting pass reads the rows again beside the few estimates of their group and adds up within tasks: what is
+    shuffled is a row a group and task. With up to most_groups groups their estimates are broadcast (their number is
+    counted, not assumed); with more they join by group."""
     d = digests(df, groups, value, size)
     e = estimates(d, groups, at).groupBy(*groups).agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("p", "estimate"))).alias("_e"))
+    e = bounded(e.withColumnsRenamed({g: f"_k{i}" for i, g in enumerate(groups)}), most_groups)
     x = F.col("_x")
-    rows = df.select(*groups, F.col(value).cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan("_x"))
-    # equal values are counted before the join: it then moves distinct values, not rows
-    rows = rows.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    on: Column | list = [rows[g].eqNullSafe(e[g]) for g in groups]
-    joined = rows.join(e, on) if groups else rows.crossJoin(e)
-    sums = [F.sum(F.when(x < F.col("_e")[i]["estimate"], F.col("_c")).otherwise(0)).alias(f"_b{i}") for i in range(len(at))]
-    sums += [F.sum(F.when(x <= F.col("_e")[i]["estimate"], F.col("_c")).otherwise(0)).alias(f"_u{i}") for i in range(len(at))]
-    keys = [e[g] for g in groups]
+    rows = df.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col(value).cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan("_x"))
+    on = [F.col(f"_g{i}").eqNullSafe(F.col(f"_k{i}")) for i in range(len(groups))]
+    joined = rows.join(e, on) if groups else rows.join(e)  # without groups: one row
+    sums = [F.count_if(x < F.col("_e")[i]["estimate"]).alias(f"_b{i}") for i in range(len(at))]
+    sums += [F.count_if(x <= F.col("_e")[i]["estimate"]).alias(f"_u{i}") for i in range(len(at))]
+    keys = [f"_k{i}" for i in range(len(groups))]
     counted = joined.groupBy(*keys).agg(F.first("n").alias("n"), F.first("_e").alias("_e"), *sums)
     each = F.explode(F.array(*[F.struct(F.col("_e")[i]["p"].alias("p"), F.col("_e")[i]["estimate"].alias("estimate"), F.col(f"_b{i}").alias("below"), F.col(f"_u{i}").alias("upto")) for i in range(len(at))])).alias("_r")
-    out = counted.select(*groups, "n", each).select(*groups, "n", "_r.*")
+    out = counted.where(F.col("n").isNotNull()).select(*[F.col(k).alias(g) for k, g in zip(keys, groups)], "n", each).select(*groups, "n", "_r.*")
     rank = F.greatest(F.ceil(F.col("p") * F.col("n") - 1e-9), F.lit(1))
     off = F.greatest(F.col("below") + 1 - rank, rank - F.col("upto"), F.lit(0))
     return out.withColumn("rank_error", off / F.col("n"))
