@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import reduce
 
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galena.session import new_path, remove_path
+from galena.session import new_path, read_text, remove_path, write_text
 
 _CANDIDATE = "id string, h long, ts long, ingest_date string, part int, off long"
 _ARRAYS = "kind string, prefix int, seq int, ids array<string>, hs array<long>, ts array<long>, ingest array<string>, part array<int>, off array<long>"
@@ -101,7 +102,11 @@ class MessageIndex:
     A batch is deduplicated within its tasks, sent to its prefixes, searched in the runs by bisection from the newest
     to the oldest, and leaves a new run; after merge_every runs they are merged into one. Losing rows are written
     with the run by the same job, so a batch is in the index wholly or not at all. A later batch may bring the better
-    copy: the one kept before is then reported as surplus."""
+    copy: the one kept before is then reported as surplus.
+
+    A manifest in the folder names the runs that count; it is replaced after a run is written, so that another session
+    that opens the same path finds the index as the last finished batch left it, and a run without an entry is nothing.
+    The number of prefixes is the manifest's where there is one. One writer at a time."""
 
     def __init__(self, spark: SparkSession, prefixes: int = 64, merge_every: int = 3, path: str | None = None):
         self.spark, self.prefixes, self.merge_every = spark, prefixes, merge_every
@@ -109,6 +114,14 @@ class MessageIndex:
         self.runs: list[str] = []
         self.lost: list[str] = []
         self.seq = 0
+        known = read_text(spark, f"{self.path}/manifest.json")
+        if known is not None:
+            m = json.loads(known)
+            self.runs, self.lost, self.seq, self.prefixes = ([f"{self.path}/{r}" for r in m["runs"]], [f"{self.path}/{r}" for r in m["lost"]], m["seq"], m["prefixes"])
+
+    def _commit(self) -> None:
+        names = lambda paths: [p.rsplit("/", 1)[1] for p in paths]
+        write_text(self.spark, f"{self.path}/manifest.json", json.dumps({"runs": names(self.runs), "lost": names(self.lost), "seq": self.seq, "prefixes": self.prefixes}))
 
     def _kind(self, kind: str, paths: list[str]) -> DataFrame:
         frames = [self.spark.read.schema(_ARRAYS).parquet(p).where(F.col("kind") == kind) for p in paths]
@@ -126,9 +139,10 @@ class MessageIndex:
 
         held = self._kind("run", self.runs)
         done = held.groupBy("prefix").cogroup(incoming.groupBy("prefix")).applyInPandas(settle, _ARRAYS)
-        done.write.partitionBy("kind").parquet(path)
+        done.write.mode("overwrite").partitionBy("kind").parquet(path)
         self.runs.append(path)
         self.lost.append(path)
+        self._commit()
         if len(self.runs) > self.merge_every:
             self.merge()
 
@@ -142,11 +156,12 @@ class MessageIndex:
             b = pd.concat(runs).sort_values(["h", "id", "seq"], ascending=[True, True, False], kind="stable").drop_duplicates(["h", "id"])
             return _table(list(_pieces("run", int(key[0]), seq, b)))
 
-        self._kind("run", self.runs).groupBy("prefix").applyInPandas(join, _ARRAYS).write.partitionBy("kind").parquet(path)
-        for old in self.runs:
-            if old not in self.lost:
-                remove_path(self.spark, old)
-        self.runs = [path]
+        self._kind("run", self.runs).groupBy("prefix").applyInPandas(join, _ARRAYS).write.mode("overwrite").partitionBy("kind").parquet(path)
+        old, self.runs = self.runs, [path]
+        self._commit()
+        for run in old:
+            if run not in self.lost:
+                remove_path(self.spark, run)
 
     def surplus(self) -> DataFrame:
         """(part, off, ingest_date) of every row that lost against another copy of its message."""

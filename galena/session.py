@@ -69,6 +69,34 @@ def bounded(df: DataFrame, most: int = 100_000) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file through Hadoop's file system; None where there is none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file: written beside it first, so that a reader finds the old or the new one, or for a moment
+    none, never a part."""
+    jvm = spark.sparkContext._jvm
+    p, aside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"could not write {path}")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file system, so that any store works."""
     jvm = spark.sparkContext._jvm

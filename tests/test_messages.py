@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from galena.operators.messages import surplus_messages
+from galena.operators.messages import MessageIndex, surplus_messages
 
 SCHEMA = "offre_id string, json string, kafka_ts timestamp, kafka_partition int, kafka_offset long, ingest_date string, id string, h long"
 
@@ -44,3 +44,17 @@ def test_equals_brute_force_with_a_hot_identifier(spark, prefix):
 
 def test_empty(spark):
     assert surplus_messages(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_another_session_goes_on_with_the_index(spark, tmp_path):
+    path = str(tmp_path / "index")
+    batch = lambda s, rows: s.createDataFrame(rows, "id string, ts long, ingest_date string, part int, off long").selectExpr("id", "xxhash64(id) as h", "ts", "ingest_date", "part", "off")
+    first = MessageIndex(spark, prefixes=3, merge_every=1, path=path)
+    first.add(batch(spark, [("a", 1, "d1", 0, 1), ("b", 5, "d1", 0, 2), ("b", 4, "d1", 0, 3)]))
+    first.add(batch(spark, [("c", 1, "d2", 0, 4)]))
+    other = spark.newSession()
+    again = MessageIndex(other, prefixes=50, path=path)
+    assert again.prefixes == 3 and again.seq == first.seq
+    again.add(batch(other, [("a", 2, "d3", 0, 5), ("c", 0, "d3", 0, 6), ("e", 1, "d3", 0, 7)]))
+    assert {r.off for r in again.surplus().collect()} == {3, 1, 6}
+    assert {(r.id, r.off) for r in MessageIndex(other, path=path).kept().collect()} == {("a", 5), ("b", 2), ("c", 4), ("e", 7)}
