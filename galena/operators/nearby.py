@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galena.functions import sphere
+from galena.functions import numeric, sphere
 from galena.session import bounded
 
 _ROW = "bucket long, side int, code long, last long, id string, lat double, lon double"
@@ -98,3 +98,45 @@ def near_pairs(queries: DataFrame, points: DataFrame, radius_m: float, query_key
 
     found = rows.repartition("bucket", "slice").sortWithinPartitions("bucket", "slice", "side", "code").mapInPandas(match, f"`{names[0]}` string, `{names[1]}` string, _m double")
     return found.groupBy(*names).agg(F.min("_m").alias(distance)) if distance else found.select(*names).distinct()
+
+
+def _inside(lat: Column, lon: Column, ring: Column) -> Column:
+    """Whether a point lies in a ring (array<struct<lat, lon>>, closed or not), by the parity of the edges that a ray to
+    the east crosses; edges are straight in degrees. A point on a western or southern edge is inside, on the others not."""
+    n = F.size(ring)
+
+    def crossed(i: Column) -> Column:
+        a, b = F.element_at(ring, i), F.element_at(ring, F.when(i == n, 1).otherwise(i + 1))
+        spans = (a["lat"] > lat) != (b["lat"] > lat)
+        at = a["lon"] + (lat - a["lat"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0)) * (b["lon"] - a["lon"])
+        return F.when(spans & (lon < at), 1).otherwise(0)
+
+    return F.aggregate(F.transform(F.sequence(F.lit(1), n), crossed), F.lit(0), lambda s, x: s + x) % 2 == 1
+
+
+def containing_regions(points: DataFrame, regions: DataFrame, point_key: str, region_key: str, ring: str = "ring", place: tuple[str, str] = ("latitude", "longitude")) -> DataFrame:
+    """(point_key, region_key): each point with the regions that contain it, once.
+
+    regions: one ring a row (array<struct<lat: double, lon: double>>), several rows of a key together are its parts.
+    Each ring lies in a disc around the middle of its box; rings go by the size of that disc, in powers of two metres (some
+    twenty classes at most), and each class is covered with ranges of curve codes and joined like near_pairs; the ring
+    itself decides. Rings of fewer than three corners, or with a null one, contain nothing; rings may not cross the
+    date line. Points without a place are in no region; repeated rows count once; empty tables give no rows."""
+    r = regions.where(F.col(region_key).isNotNull() & (F.size(ring) >= 3) & ~F.exists(ring, lambda c: c["lat"].isNull() | c["lon"].isNull()))
+    lats, lons = F.transform(ring, lambda c: c["lat"]), F.transform(ring, lambda c: c["lon"])
+    lat, lon = (F.array_max(lats) + F.array_min(lats)) / 2, (F.array_max(lons) + F.array_min(lons)) / 2
+    r = r.select(F.col(region_key).cast("string").alias("_region"), F.col(ring).alias("_ring"), F.xxhash64(F.col(region_key).cast("string"), ring).cast("string").alias("_part"), lat.alias("latitude"), lon.alias("longitude"))
+    reach = F.array_max(F.transform("_ring", lambda c: numeric.haversine(F.col("latitude"), F.col("longitude"), c["lat"], c["lon"])))
+    # a disc through the corners may leave out a bit of a long edge: a tenth more holds it
+    r = r.withColumn("_class", F.greatest(F.ceil(F.log2(reach * 1.1 + 1)), F.lit(4)).cast("int"))
+    p = points.select(F.col(point_key).cast("string").alias("_point"), F.col(place[0]).cast("double").alias("latitude"), F.col(place[1]).cast("double").alias("longitude")).distinct()
+    numbered = p.withColumn("_id", F.xxhash64("_point", "latitude", "longitude").cast("string"))
+    out = None
+    for c in sorted(x["_class"] for x in r.select("_class").distinct().collect()):  # sizes of regions, not regions
+        some = r.where(F.col("_class") == c)
+        met = near_pairs(some.withColumn("latitude", F.when((F.col("latitude") == 0) & (F.col("longitude") == 0), 1e-9).otherwise(F.col("latitude"))), numbered, float(2**c), "_part", "_id")
+        out = met if out is None else out.unionByName(met)
+    if out is None:
+        return p.limit(0).select(F.col("_point").alias(point_key), F.lit("").alias(region_key))
+    j = out.join(numbered, "_id").join(r.select("_part", "_region", "_ring"), "_part")
+    return j.where(_inside(F.col("latitude"), F.col("longitude"), F.col("_ring"))).select(F.col("_point").alias(point_key), F.col("_region").alias(region_key)).distinct()

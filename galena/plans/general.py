@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galena.operators.messages import surplus_messages
-from galena.operators.nearby import near_pairs
+from galena.operators.nearby import containing_regions, near_pairs
 from galena.operators.nested import Node, flatten
 from galena.operators.snapshots import snapshot_changes
 from galena.sources.tables import table
@@ -29,6 +29,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return near_pairs(table(spark, d, "offre_emploi"), firms.where(F.col("data_version") == latest), 200.0, "offre_id", "siret")
 
 
+def p1_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Each offer with the departments of the register in whose box (of the sites of its latest version) it lies."""
+    firms = table(spark, d, "cabinet")
+    latest = firms.agg(F.max("data_version")).first()[0]
+    la, lo = F.col("latitude"), F.col("longitude")
+    sites = firms.where((F.col("data_version") == latest) & la.isNotNull() & lo.isNotNull() & ~((la == 0) & (lo == 0)) & F.col("departement").isNotNull())
+    box = sites.groupBy("departement").agg(F.min(la).alias("s"), F.max(la).alias("n"), F.min(lo).alias("w"), F.max(lo).alias("e"))
+    corner = lambda a, o: F.struct(F.col(a).alias("lat"), F.col(o).alias("lon"))
+    rings = box.select("departement", F.array(corner("s", "w"), corner("s", "e"), corner("n", "e"), corner("n", "w")).alias("ring"))
+    return containing_regions(table(spark, d, "offre_emploi"), rings, "offre_id", "departement")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return snapshot_changes(table(spark, d, "cabinet"), "siret", "data_version", COORDINATES).select("data_version", "siret", F.col("change").alias("changement"))
 
@@ -63,7 +75,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return surplus_messages(table(spark, d, "offre_brute"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_fields, p3_found, p3_tables, p7_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_regions, p2_found, p2_fields, p3_found, p3_tables, p7_found)}
 _PLACE = "latitude is not null and longitude is not null and not (latitude = 0 and longitude = 0)"
 _METRES = "2 * 6371000e0 * asin(sqrt(pow(sin(radians(c.latitude - o.latitude) / 2), 2) + cos(radians(o.latitude)) * cos(radians(c.latitude)) * pow(sin(radians(c.longitude - o.longitude) / 2), 2)))"
 _OTHERS = (
@@ -74,7 +86,8 @@ _CHANGED = " or ".join([f"a.{c} is distinct from b.{c}" for c in _OTHERS] + [f"c
 _VERSIONS = "with d as (select distinct * from cabinet), v as (select data_version as v, lag(data_version) over (order by data_version) as w from (select distinct data_version from cabinet)), a as (select d.*, w from d join v on data_version = v where w is not null), b as (select d.*, v from d join v on data_version = w)"
 
 SQL: dict[str, str] = {
-    "p1_found": f"with o as (select distinct offre_id, latitude, longitude from offre_emploi where offre_id is not null and {_PLACE}), c as (select distinct siret, latitude, longitude from cabinet where siret is not null and data_version = (select max(data_version) from cabinet) and {_PLACE}) select distinct offre_id, siret from o join c on abs(c.latitude - o.latitude) < 2e-3 and abs(c.longitude - o.longitude) < 4e-3 where {_METRES} <= 200",
+    "p1_found": f"with o as (select distinct offre_id, latitude, longitude from offre_emploi where offre_id is not null and {_PLACE}), c as (select distinct siret, latitude, longitude from cabinet where siret is not null and data_version = (select max(data_version) from cabinet) and {_PLACE}) select distinct offre_id, siret from o join c on abs(c.latitude - o.latitude) < 2e-3 and abs(c.longitude - o.longitude) * cos(radians(o.latitude)) < 2e-3 where {_METRES} <= 200",
+    "p1_regions": f"with b as (select departement, min(latitude) as s, max(latitude) as n, min(longitude) as w, max(longitude) as e from cabinet where data_version = (select max(data_version) from cabinet) and {_PLACE} and departement is not null group by departement), o as (select distinct offre_id, latitude, longitude from offre_emploi where offre_id is not null and {_PLACE}) select distinct offre_id, departement from o join b on latitude >= s and latitude < n and longitude >= w and longitude < e",
     "p2_found": f"{_VERSIONS} select data_version, siret, 'ajout' as changement from a where not exists (select 1 from b where b.v = a.data_version and b.siret = a.siret) union select v, siret, 'retrait' from b where not exists (select 1 from a where b.v = a.data_version and b.siret = a.siret) union select a.data_version, a.siret, 'modification' from a join b on b.v = a.data_version and b.siret = a.siret where {_CHANGED}",
     "p2_fields": f"{_VERSIONS}, m as (select a.data_version, a.siret, unnest([{', '.join([f"case when a.{c} is distinct from b.{c} then '{c}' end" for c in _OTHERS] + [f"case when coalesce(abs(a.{c} - b.{c}) > 1e-6, (a.{c} is null) <> (b.{c} is null)) then '{c}' end" for c in COORDINATES])}]) as champ from a join b on b.v = a.data_version and b.siret = a.siret) select * from m where champ is not null",
     "p7_found": "select kafka_partition, kafka_offset, ingest_date from (select *, lower(regexp_replace(coalesce(offre_id, case when json_valid(json) then json_extract_string(json, '$.id') end), '^\\s+|\\s+$', '', 'g')) as id from offre_brute) where id is not null qualify row_number() over (partition by id order by kafka_ts desc nulls last, ingest_date nulls last, kafka_partition, kafka_offset) > 1",

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 from galena.functions import sphere
-from galena.operators.nearby import near_pairs
+from galena.operators.nearby import containing_regions, near_pairs
 
 
 def brute(q, p, radius):
@@ -60,3 +60,24 @@ def test_covers_hold_every_point_of_the_disc():
         code, held = sphere.point_codes(la, lg), np.zeros(500, bool)
         np.logical_or.at(held, i, (code[i] >= lo) & (code[i] <= hi))
         assert held[inside].all()
+
+
+def _in_ring(la, lo, ring):
+    inside = False
+    for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1]):
+        if (a > la) != (c > la) and lo < b + (la - a) / (c - a) * (d - b):
+            inside = not inside
+    return inside
+
+
+def test_containing_regions(spark):
+    r = random.Random(9)
+    points = [(f"p{i}", 40 + r.random() * 10, r.random() * 8 - 2) for i in range(400)] + [("zero", 0.0, 0.0), ("none", None, 1.0), ("p0", 41.0, 3.0)]
+    rings = {f"r{k}": [(la + r.uniform(-w, w), lo + r.uniform(-w, w)) for _ in range(r.randint(3, 7))] for k in range(25) for w in [10 ** r.uniform(-3, 0.4)] for la, lo in [(40 + r.random() * 10, r.random() * 8 - 2)]}
+    rows = [(k, v, "x") for k, v in rings.items()] + [("thin", [(1.0, 1.0), (2.0, 2.0)], "x"), ("hole", [(1.0, None), (2.0, 2.0), (3.0, 1.0)], "x"), (None, rings["r1"], "x"), ("r1", rings["r1"], "x")]
+    p = spark.createDataFrame(points, "id string, latitude double, longitude double")
+    g = spark.createDataFrame(rows, "id_r string, ring array<struct<lat: double, lon: double>>, id string")
+    want = {(i, k) for i, la, lo in points if la is not None and (la, lo) != (0, 0) for k, ring in rings.items() if _in_ring(la, lo, ring)}
+    got = [tuple(x) for x in containing_regions(p, g, "id", "id_r").collect()]
+    assert set(got) == want and len(got) == len(want) and want
+    assert containing_regions(p, g.limit(0), "id", "id_r").count() == 0 and containing_regions(p.limit(0), g, "id", "id_r").count() == 0
