@@ -114,6 +114,10 @@ def _inside(lat: Column, lon: Column, ring: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), n), crossed), F.lit(0), lambda s, x: s + x) % 2 == 1
 
 
+def _part_of(name: str):
+    return lambda corner: corner[name]
+
+
 def containing_regions(points: DataFrame, regions: DataFrame, point_key: str, region_key: str, ring: str = "ring", place: tuple[str, str] = ("latitude", "longitude")) -> DataFrame:
     """(point_key, region_key): each point with the regions that contain it, once.
 
@@ -138,5 +142,7 @@ def containing_regions(points: DataFrame, regions: DataFrame, point_key: str, re
         out = met if out is None else out.unionByName(met)
     if out is None:
         return p.limit(0).select(F.col("_point").alias(point_key), F.lit("").alias(region_key))
-    j = out.join(numbered, "_id").join(r.select("_part", "_region", "_ring"), "_part")
+    ends = [F.array_min(F.transform("_ring", _part_of(x))).alias(f"_{x}0") for x in ("lat", "lon")] + [F.array_max(F.transform("_ring", _part_of(x))).alias(f"_{x}1") for x in ("lat", "lon")]
+    j = out.join(numbered, "_id").join(r.select("_part", "_region", "_ring", *ends), "_part")
+    j = j.where(F.col("latitude").between(F.col("_lat0"), F.col("_lat1")) & F.col("longitude").between(F.col("_lon0"), F.col("_lon1")))
     return j.where(_inside(F.col("latitude"), F.col("longitude"), F.col("_ring"))).select(F.col("_point").alias(point_key), F.col("_region").alias(region_key)).distinct()
