@@ -73,7 +73,9 @@ def fit_platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def _named(df: DataFrame, name: str) -> DataFrame:
     """(h, f, core, kinds) of the distinct non-null values of a column of names: their hash, their core words with the
     hash of these, and the kinds of activity they tell. Names of no core word or that name nobody are left out."""
-    forms = df.where(F.col(name).isNotNull()).select(name).distinct().select(F.xxhash64(name).alias("h"), F.split(normalized(F.col(name)), " ").alias("words"))
+    # written once: else the optimizer puts the normalization of every row, and again of every filter, before the distinct
+    forms = materialize(df.where(F.col(name).isNotNull()).select(name).distinct().select(F.xxhash64(name).alias("h"), normalized(F.col(name)).alias("n")), "normalized")
+    forms = forms.select("h", F.split("n", " ").alias("words"))
     nobody = F.forall("words", lambda w: w.isin(*NOBODY) | w.rlike("^X+$"))
     core = F.array_join(F.filter("words", is_core), " ").alias("core")
     out = forms.where(~nobody).select("h", core, activity_classes(F.col("words")).alias("kinds")).where(F.col("core") != "")
