@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,17 +30,22 @@ NOBODY = "NON COMMUNIQUE COMMUNIQUEE RENSEIGNE RENSEIGNEE PRECISE PRECISEE DIVUL
 def _scored(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """(fa, fb, score, kept, thin) of pairs of names at least LEAST alike. words: (f, word, weight, trusted), arrays in order."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lists(a: pa.ListArray) -> list[list]:
+        """Its arrays as lists, all values converted at once: an array of NumPy for each costs more than the alignment."""
+        at, values = a.offsets.to_numpy(), a.flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = (at - at[0]).tolist() if len(at) else []
+        return [values[i:j] for i, j in pairwise(ends)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for fa, fb, *w in zip(*[b[c] for c in ("fa", "fb", "xa", "xb", "ya", "yb", "ta", "tb")]):
-                share, kept, thin = align((w[0], w[2], w[4]), (w[1], w[3], w[5]))
-                if share >= LEAST:
-                    out.append((fa, fb, share, kept, thin))
-            yield pd.DataFrame(out, columns=["fa", "fb", "score", "kept", "thin"])
+            aligned = [align(x, y) for x, y in zip(*[zip(*[lists(b[c + s]) for c in "xyt"]) for s in "ab"])]
+            alike = [i for i, (share, _, _) in enumerate(aligned) if share >= LEAST]
+            score, kept, thin = zip(*[aligned[i] for i in alike]) if alike else ((), (), ())
+            ids = b.select(["fa", "fb"]).take(pa.array(alike, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(score, pa.float64()), pa.array(kept, pa.bool_()), pa.array(thin, pa.bool_())], ["fa", "fb", "score", "kept", "thin"])
 
     side = lambda s: words.select(F.col("f").alias("f" + s), F.col("word").alias("x" + s), F.col("weight").alias("y" + s), F.col("trusted").alias("t" + s))
-    return pairs.join(side("a"), "fa").join(side("b"), "fb").mapInPandas(run, "fa long, fb long, score double, kept boolean, thin boolean")
+    return pairs.join(side("a"), "fa").join(side("b"), "fb").mapInArrow(run, "fa long, fb long, score double, kept boolean, thin boolean")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -93,13 +100,15 @@ def alike_names(typed: DataFrame, official: DataFrame, typed_places: DataFrame,
     split = forms.select("f", "official", F.posexplode(F.array_distinct(F.split("form", " "))).alias("pos", "word"))
     weight = lambda df: F.log(F.lit(float(n + 1)) / df)
     df = split.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("official").alias("trusted"))
-    index = word_index(df, trusted_only=True).withColumns({"weight": weight(F.col("df")), "keys": F.transform("keys", lambda k: F.struct(k["word"].alias("word"), weight(k["df"]).alias("weight")))})
+    # as a key, a word of no official name meets none: it is null
+    key = lambda k: F.when(F.col("trusted") | (k["word"] != F.col("word")), k["word"])
+    index = word_index(df, trusted_only=True).withColumns({"weight": weight(F.col("df")), "keys": F.transform("keys", lambda k: F.struct(key(k).alias("word"), weight(k["df"]).alias("weight")))})
     index = materialize(index, "words")
-    words = split.join(index.select("word", "weight", "trusted"), "word").groupBy("f").agg(F.array_sort(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w"))
+    words = split.join(index.select("word", "weight", "trusted"), "word").groupBy("f").agg(F.sort_array(F.collect_list(F.struct("pos", "word", "weight", "trusted"))).alias("w"))
     words = materialize(words.select("f", "w.word", "w.weight", "w.trusted"), "weighed")
-    # an official name that is also typed is on both sides
-    rows = materialize(word_rows(forms, index).join(forms.select("f", "official", "only"), "f"), "rows")
     rare = rarity(n)
+    # an official name that is also typed is on both sides
+    rows = materialize(word_rows(forms, index, "official", "only"), "rows")
     mine = rows.where(~F.col("only")).drop("official", "only")
     theirs = rows.where("official").where("own").drop("official", "only")
     short_a, short_b = (materialize(shortened(x, rare), "initials") for x in (mine, theirs))
@@ -132,18 +141,20 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     cx, cy = F.when(placed, F.floor(la / CELL * 2).cast("int")), F.when(placed, F.floor(lo / CELL * 2).cast("int"))  # half cells
     place = [clean("code_commune").alias("commune"), clean("departement").alias("dep"), clean("code_ape").alias("ape"), cx.alias("cx"), cy.alias("cy")]
     attributes = ["f", "kinds", "commune", "dep", "ape", "cx", "cy"]
-    typed = materialize(_named(offers, "entreprise_nom"), "typed-names")
+    typed = materialize(_named(offers, "entreprise_nom").withColumn("told", F.col("kinds").cast("string")), "typed-names")
     both = firms.where(F.col("siren").isNotNull()).select("siren", F.explode(F.array("raison_sociale", "enseigne")).alias("name")).where(F.col("name").isNotNull())
+    both = materialize(both.distinct(), "firm-rows")
     official = _named(both, "name")
-    firm_of = materialize(both.distinct().select("siren", F.xxhash64("name").alias("h")).join(official, "h").select("f", "core", "kinds", "siren").distinct(), "firm-names")
+    firm_of = materialize(both.select("siren", F.xxhash64("name").alias("h")).join(official, "h").select("f", "core", "kinds", "siren").distinct(), "firm-names")
 
     # offers with the same employer, place and activity are one mention
-    by = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in attributes])
+    by = F.xxhash64(*[F.coalesce(F.col("told" if c == "kinds" else c).cast("string"), F.lit("\u0001")) for c in attributes])
     said = offers.where(F.col("offre_id").isNotNull() & F.col("entreprise_nom").isNotNull()).select("offre_id", F.xxhash64("entreprise_nom").alias("h"), *place)
-    said = said.join(typed.select("h", "f", "kinds"), "h").select("offre_id", by.alias("mention"), *attributes)
-    said = materialize(said.distinct(), "offers")
+    said = said.join(typed.select("h", "f", "kinds", "told"), "h").select("offre_id", by.alias("mention"), *attributes)
+    said = materialize(said, "offers")  # repeated rows fall together below
     m = materialize(said.drop("offre_id").distinct(), "mentions")
-    towns = firms.select("siren", clean("code_commune").alias("place")).distinct()
+    sites = materialize(firms.where(F.col("siren").isNotNull()).select("siren", *place).distinct(), "sites")
+    towns = sites.select("siren", F.col("commune").alias("place")).distinct()
     alike = materialize(
         alike_names(typed.select("f", "core").distinct(), firm_of.select("f", "core").distinct(), m.select("f", F.col("commune").alias("place")).distinct(), firm_of.select("f", "siren").distinct().join(towns, "siren").select("f", "place").distinct()), "alike"
     )
@@ -157,14 +168,16 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     pairs = materialize(pairs.withColumn("pair", F.xxhash64("mention", "siren")), "pairs")
 
     # agreement with any site of the firm, by an equi-join of hashed facts: commune, department, activity, cells
-    fact = lambda kind, *c: F.when(F.col(c[0]).isNotNull(), F.struct(F.lit(kind).alias("kind"), F.xxhash64(F.lit(kind), "siren", *[F.col(x) if isinstance(x, str) else x for x in c]).alias("fact")))
+    kinds = {"c": 1, "d": 2, "a": 4, "g": 8}
+    fact = lambda kind, *c: F.when(F.col(c[0]).isNotNull(), F.struct(F.lit(kinds[kind]).alias("kind"), F.xxhash64(F.lit(kind), "siren", *[F.col(x) if isinstance(x, str) else x for x in c]).alias("fact")))
     known = [fact("c", "commune"), fact("d", "dep"), fact("a", "ape")]
     half = lambda c, i: F.floor((F.col(c) + i) / 2).cast("int")
-    around = [F.when(F.col("cx").isNotNull(), F.struct(F.lit("g").alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", i), half("cy", j)).alias("fact"))) for i in (-1, 1) for j in (-1, 1)]
-    here_ = F.when(F.col("cx").isNotNull(), F.struct(F.lit("g").alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", 0), half("cy", 0)).alias("fact")))
-    facts = firms.where(F.col("siren").isNotNull()).select("siren", *place).select(F.explode(F.array_compact(F.array(*known, here_))).alias("x")).select("x.fact").distinct()
-    asked = pairs.select("pair", F.explode(F.array_distinct(F.array_compact(F.array(*known, *around)))).alias("x")).select("pair", "x.kind", "x.fact")
-    agree = asked.join(facts, "fact", "left_semi").groupBy("pair").agg(*[F.max((F.col("kind") == k).cast("int")).alias(k) for k in "cdag"])
+    around = [F.when(F.col("cx").isNotNull(), F.struct(F.lit(kinds["g"]).alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", i), half("cy", j)).alias("fact"))) for i in (-1, 1) for j in (-1, 1)]
+    here_ = F.when(F.col("cx").isNotNull(), F.struct(F.lit(kinds["g"]).alias("kind"), F.xxhash64(F.lit("g"), "siren", half("cx", 0), half("cy", 0)).alias("fact")))
+    facts = sites.select(F.explode(F.array(*known, here_)).alias("x")).where(F.col("x").isNotNull()).select("x.fact")
+    asked = pairs.select("pair", F.explode(F.array(*known, *around)).alias("x")).where(F.col("x").isNotNull()).select("pair", "x.kind", "x.fact")
+    agree = asked.join(facts, "fact", "left_semi").groupBy("pair").agg(F.bit_or("kind").alias("agreed"))
+    agree = agree.select("pair", *[F.col("agreed").bitwiseAND(bit).cast("boolean").cast("int").alias(k) for k, bit in kinds.items()])
     yes = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
     no = lambda c, known: ((F.coalesce(F.col(c), F.lit(0)) == 0) & F.col(known).isNotNull()).cast("double")
     rivals = F.log1p(F.greatest(F.count_if(F.col("s.score") >= 0.8).over(Window.partitionBy("mention")) - (F.col("s.score") >= 0.8).cast("int"), F.lit(0)))
@@ -172,16 +185,14 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
         "mention", "siren", F.col("s.score").alias("score"), ((F.col("s.score") - LEAST) * 10).alias("alike"), F.col("s.exact").cast("double").alias("exact"), F.col("s.kept").cast("double").alias("kept"), (~F.col("s.agree")).cast("double").alias("clash"),
         (~F.col("s.thick")).cast("double").alias("thin"), rivals.alias("rivals"), yes("c").alias("same_commune"), no("c", "commune").alias("other_commune"), yes("d").alias("same_dep"), yes("g").alias("near"), no("g", "cx").alias("far"), yes("a").alias("same_ape"), no("a", "ape").alias("other_ape"), (F.col("s.few") == -1).alias("single"),
     )
-    x = materialize(x, "features")
-
     # weak labels: the very name, unique in the register, or much the same name at a place of the firm is right; a
     # name half alike elsewhere, another trade, an initial elsewhere, and what competes with a right one is wrong
     here = (F.col("same_commune") > 0) | (F.col("near") > 0)
     sure = F.col("single") & (F.col("clash") == 0) & (((F.col("exact") > 0) & (F.col("thin") == 0)) | ((F.col("score") >= 0.8) & here))
-    per = x.groupBy("mention").agg(F.max(sure).alias("settled"))
+    x = materialize(x.withColumn("settled", F.max(sure).over(Window.partitionBy("mention"))), "features")
     wrong = ((F.col("score") < 0.75) & ~here) | (F.col("clash") > 0) & (F.col("other_ape") > 0) | ((F.col("thin") > 0) & (F.col("other_commune") > 0) & ~here) | (F.col("settled") & ~sure)
     label = F.when(sure, 1).when(wrong, 0)
-    labelled = materialize(x.join(per, "mention").select(*FEATURES, label.alias("y"), F.xxhash64("mention", "siren").alias("h")).where(F.col("y").isNotNull()), "labelled")
+    labelled = materialize(x.select(*FEATURES, label.alias("y"), F.xxhash64("mention", "siren").alias("h")).where(F.col("y").isNotNull()), "labelled")
     # a bounded sample of either label: the rows whose hash is under a bound that lets about so many through
     have = {r.y: r.n for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     bound = F.lit(None).cast("double")
@@ -197,7 +208,7 @@ def match_entities(offers: DataFrame, firms: DataFrame, probability: float = 0.5
     odds = F.exp(F.least(F.col("z"), F.lit(30.0)))
     rated = rated.withColumns({"p": F.when(F.sum("p").over(w) > 1, F.col("p") * odds / F.sum(odds).over(w)).otherwise(F.col("p")), "r": F.row_number().over(first)})
     chosen = rated.where((F.col("r") == 1) & (F.col("p") >= probability)).select("mention", "siren", F.col("p").alias("confidence"))
-    out = said.select("offre_id", "mention").distinct().join(chosen, "mention")
+    out = said.select("offre_id", "mention").join(chosen, "mention")
     last = Window.partitionBy("offre_id").orderBy(F.col("confidence").desc(), "siren")
     return out.withColumn("r", F.row_number().over(last)).where(F.col("r") == 1).select("offre_id", "siren", "confidence")
 
